@@ -10,22 +10,37 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import tidemark.llm
+
+#: Executors need not have this subpackage installed: its functions travel with the tasks.
+cloudpickle.register_pickle_by_value(tidemark.llm)
+
 #: Characters of text that a Python worker holds as tokens at once; a longer single text is a slice of its own.
 SLICE_CHARS = 8_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of the input folder; sets the session's Arrow batches to a bounded size."""
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Arrow batches by bytes: rows of whole texts, or of two, would otherwise fill an executor ten thousand at a time."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4096")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
+
+
 # ---------------------------------------------------------------- intermediate tables
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share (spark.checkpoint.dir); a temporary one only where that is unset, as in tests."""
+    bounded_batches(spark)
     sc = spark.sparkContext
     found = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not found:
@@ -77,7 +92,9 @@ def slices(batches, column: str, chars: int = SLICE_CHARS):
 
 
 def texts_of(batch: pa.RecordBatch, column: str = "text") -> pa.Array:
-    return pc.fill_null(batch.column(batch.schema.get_field_index(column)).cast(pa.large_string()), "")
+    """The column's texts in buffers of their own (some Arrow kernels misread slices); null is empty."""
+    col = batch.column(batch.schema.get_field_index(column)).take(pa.array(np.arange(batch.num_rows)))
+    return pc.fill_null(col.cast(pa.large_string()), "")
 
 
 def ints_of(batch: pa.RecordBatch, column: str) -> pa.Array:
@@ -90,9 +107,9 @@ def ints_of(batch: pa.RecordBatch, column: str) -> pa.Array:
 def ascii_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Words [^\\x20\\x09-\\x0D]+ of texts with A-Z lowered.
 
-    Returns offsets (one more than texts), the code of each word, and the distinct words as an object array.
+    texts: large strings that are not a slice. Returns offsets (one more than texts), the code of each word, and the distinct words as an object array.
     """
-    parts = pc.ascii_split_whitespace(pc.ascii_lower(texts.cast(pa.large_string())))
+    parts = pc.ascii_split_whitespace(texts)
     flat = parts.flatten()
     off = parts.offsets.to_numpy().astype(np.int64)
     off = off - off[0]
@@ -100,8 +117,10 @@ def ascii_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     if not full.all():
         off = np.concatenate(([0], np.cumsum(full)))[off]
         flat = flat.filter(pa.array(full))
-    enc = flat.dictionary_encode()
-    return off, enc.indices.to_numpy(zero_copy_only=False), enc.dictionary.to_numpy(zero_copy_only=False)
+    raw = flat.dictionary_encode()
+    low = pc.ascii_lower(raw.dictionary).dictionary_encode()
+    code = low.indices.to_numpy(zero_copy_only=False)[raw.indices.to_numpy(zero_copy_only=False)]
+    return off, code, low.dictionary.to_numpy(zero_copy_only=False)
 
 
 def hash_words(words: np.ndarray) -> np.ndarray:
