@@ -172,40 +172,47 @@ def viterbi(scores: np.ndarray, off: np.ndarray, switch: float = SWITCH) -> np.n
     return state
 
 
+def label(texts: pa.Array, model: Model, switch: float = SWITCH):
+    """For each text the number of its language (the number of languages: none), the share of its letters, and its spans:
+    offsets of the texts' spans, each span's first word, words and language."""
+    n, k = len(texts), len(model.langs)
+    has = pc.match_substring_regex(texts, r"\p{L}").to_numpy(zero_copy_only=False)
+    none = np.empty(0, np.int64)
+    if not k or not has.any():
+        return np.full(n, k), np.zeros(n), np.zeros(n + 1, np.int32), none, none, none
+    off, code, words = _tokens(texts)
+    table, letters = model.word_scores(words)
+    state = viterbi(table[code], off, switch)
+    who = owner(off)
+    got = np.bincount(who * k + state, letters[code], minlength=n * k).reshape(n, k)
+    total = got.sum(axis=1)
+    known = has & (total > 0)
+    pred = np.where(known, got.argmax(axis=1), np.where(has, 0, k))
+    score = np.where(known, got.max(axis=1) / np.maximum(total, 1), 0.0)
+    change = np.concatenate(([True], (state[1:] != state[:-1]) | (who[1:] != who[:-1])))
+    first = np.flatnonzero(change)
+    size = np.diff(np.concatenate((first, [len(state)])))
+    keep = has[who[first]]
+    first, size = first[keep], size[keep]
+    lists = np.concatenate(([0], np.cumsum(np.bincount(who[first], minlength=n)))).astype(np.int32)
+    return pred, score, lists, first - off[who[first]], size, state[first]
+
+
 def identify(docs: DataFrame, model: Model, switch: float = SWITCH) -> DataFrame:
     """doc_id, lang_pred, score, spans for each row of docs (doc_id, text; further columns are ignored).
 
     score: the share of letters that the path gives to lang_pred. spans: (lang, first_word, words), in reading order.
-    Null texts and texts without a letter, and any text when nothing was learned, get 'und', 0 and no spans. Ties go to the
-    language that sorts first.
+    Null texts and texts without a letter, and any text when nothing was learned, get 'und', 0 and no spans; texts whose only
+    letters are of no listed script get the first language and 0. Ties go to the language that sorts first.
     """
 
     def run(batches):
         kinds = pa.list_(pa.struct([("lang", pa.string()), ("first_word", pa.int32()), ("words", pa.int32())]))
         langs = np.array([*model.langs, "und"], object)
         for batch in slices(batches, "text", 12_000_000):
-            n = batch.num_rows
-            texts = texts_of(batch)
-            has = pc.match_substring_regex(texts, r"\p{L}").to_numpy(zero_copy_only=False)
-            pred, score = np.full(n, len(model.langs)), np.zeros(n)
-            lists, first, words_in, lang_of = np.zeros(n + 1, np.int32), np.empty(0, np.int32), np.empty(0, np.int32), np.empty(0, int)
-            if model.langs and has.any():
-                off, code, words = _tokens(texts)
-                table, letters = model.word_scores(words)
-                state = viterbi(table[code], off, switch)
-                who = owner(off)
-                k = len(model.langs)
-                got = np.bincount(who * k + state, letters[code], minlength=n * k).reshape(n, k)
-                total = got.sum(axis=1)
-                ok = has & (total > 0)
-                pred = np.where(ok, got.argmax(axis=1), np.where(has, 0, k))
-                score = np.where(ok, got.max(axis=1) / np.maximum(total, 1), 0.0)
-                new = np.flatnonzero(np.concatenate(([True], (state[1:] != state[:-1]) | (who[1:] != who[:-1]))) & has[who]) if len(state) else np.empty(0, int)
-                run_end = np.concatenate((np.flatnonzero((state[1:] != state[:-1]) | (who[1:] != who[:-1])) + 1, [len(state)])) if len(state) else np.empty(0, int)
-                ends = run_end[np.searchsorted(run_end, new, side="right")] if len(new) else np.empty(0, int)
-                lists[1:] = np.cumsum(np.bincount(who[new], minlength=n))
-                first, words_in, lang_of = (new - off[who[new]]).astype(np.int32), (ends - new).astype(np.int32), state[new]
-            spans = pa.StructArray.from_arrays([pa.array(langs[lang_of], pa.string()), pa.array(first), pa.array(words_in)], fields=list(kinds.value_type))
+            pred, score, lists, first, size, lang = label(texts_of(batch), model, switch)
+            spans = [pa.array(langs[lang.astype(int)], pa.string()), pa.array(first.astype(np.int32)), pa.array(size.astype(np.int32))]
+            spans = pa.StructArray.from_arrays(spans, fields=list(kinds.value_type))
             yield pa.RecordBatch.from_arrays(
                 [ints_of(batch, "doc_id"), pa.array(langs[pred], pa.string()), pa.array(score), pa.ListArray.from_arrays(pa.array(lists), spans)],
                 names=["doc_id", "lang_pred", "score", "spans"],
@@ -215,6 +222,22 @@ def identify(docs: DataFrame, model: Model, switch: float = SWITCH) -> DataFrame
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, kind)
 
 
+def accepted(docs: DataFrame, model: Model, switch: float = SWITCH) -> DataFrame:
+    """The rows of docs in whose text a language is found, all columns as they are but for a null lang: it becomes the found one."""
+
+    def run(batches):
+        langs = np.array([*model.langs, "und"], object)
+        for batch in slices(batches, "text", 12_000_000):
+            pred = label(texts_of(batch), model, switch)[0]
+            at = batch.schema.get_field_index("lang")
+            kept = pa.array(pred < len(model.langs))
+            lang = pc.coalesce(batch.column(at), pa.array(langs[pred], batch.schema.field(at).type))
+            yield batch.set_column(at, batch.schema.field(at), lang).filter(kept)
+
+    kind = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
+    return docs.mapInArrow(run, kind)
+
+
 def learned(docs: DataFrame) -> Model:
     """The model of the rows of documents that may be learned from: crc32 of the id mod 3 is not 1."""
     return fit(docs.where(F.pmod(id_hash(F.col("doc_id")), F.lit(3)) != 1))

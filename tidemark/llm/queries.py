@@ -6,11 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, langid, linededup
+import corpus_pipeline
+
+from . import decontaminate, langid, linededup, mixing, toxicity, urlfilter
 from .common import table
 from .minhash import near_duplicates
 
 
+def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text")
+    return mixing.mix(docs).drop("text")
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -20,6 +27,14 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.dedup_lines(docs).select("doc_id", "n_words", "n_removed", "removed", "text")
 
 
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urlfilter.judge(table(spark, sf_dir, "pages")).drop("globs")
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.predictions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -30,12 +45,16 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_source_mixing": op1_source_mixing,
         "op2_decontamination": op2_decontamination,
         "op5_line_dedup": op5_line_dedup,
-        "op9_language_id": op9_language_id,
+        "op6_url_filter": op6_url_filter,
+        "op7_toxicity": op7_toxicity,
         "op8_minhash_near_dedup": op8_minhash_near_dedup,
+        "op9_language_id": op9_language_id,
+        "pipeline": corpus_pipeline.run,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op6_url_filter": urlfilter.oracle_sql()}
