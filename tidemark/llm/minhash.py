@@ -5,8 +5,8 @@ a pair of Jaccard 0.75 shares no band with probability (1 - 0.75**4)**32, about
 
 No bucket emits all its pairs. Each bucket names its most central member (the one whose buckets are largest), links every
 other member to it, and those pairs are confirmed on whole texts. Components of the confirmed links are formed. Only where
-a bucket still holds two components are members of different components compared, in blocks of bounded size by signature,
-and what looks alike is confirmed on whole texts. Members of one component need no more comparison, so a large group of
+a bucket still holds two components are members of different components compared, in blocks of bounded size: by signature
+first, on whole texts where that looks alike, until no two components are linked. Members of one component need no more comparison, so a large group of
 copies costs one pair a member.
 """
 
@@ -26,8 +26,8 @@ HASHES, ROWS = 128, 4
 SIMILARITY = 75
 #: Of signatures that agree on fewer minima no link is expected: 0.75 less 3.7 standard errors.
 AGREE = int(HASHES * 0.61)
-#: Documents of a bucket that are compared with one another at once.
-BLOCK = 1024
+#: Documents of a bucket, and shingles of theirs, that are compared with as many others at once.
+BLOCK, BULK = 512, 500_000
 
 _PASS = "doc_id long, n_shingles long, set_a long, set_b long, sig array<int>"
 
@@ -101,58 +101,111 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, k: int) -> DataFrame:
     return joined.mapInArrow(run, "src long, dst long")
 
 
-def _across(members: DataFrame) -> DataFrame:
-    """Pairs of different components that share a bucket and look alike by signature.
+def _across(members: DataFrame, k: int) -> DataFrame:
+    """Confirmed links (src, dst) between different components that share a bucket.
 
-    members: key, size, doc_id, comp, sig. A bucket of more than BLOCK members is cut into blocks by a hash of the
-    document; a row goes to one group for each pair of blocks that its own block is part of.
+    members: key, band, size, bulk, doc_id, comp, sig, text; bulk: shingles in the bucket. A bucket of more than BLOCK members
+    or BULK shingles is cut into blocks by a hash of the document; a row goes to one group for each pair of blocks that its
+    own block is part of. A pair is looked at in its first common band only. Of a group's links those are returned that
+    join components the ones before have not joined, so at most one for each member.
     """
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    blocks = F.ceil(F.greatest(F.col("size") / BLOCK, F.col("bulk") / BULK)).cast("int")
     mine = F.pmod(F.xxhash64("doc_id"), blocks).cast("int")
-    rows = members.select("key", "doc_id", "comp", "sig", mine.alias("mine"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
-    rows = rows.select("key", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "doc_id", "comp", "sig")
+    rows = members.select("key", "band", "doc_id", "comp", "sig", "text", mine.alias("mine"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
+    rows = rows.select("key", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "band", "mine", "doc_id", "comp", "sig", "text")
+
+    def linked(band, two, mine, doc, comp, sig, texts):
+        """Links within one group."""
+        n = len(doc)
+        root = {c: c for c in comp.tolist()}
+
+        def find(c):
+            while root[c] != c:
+                c = root[c]
+            return c
+
+        left, right, agree = [], [], []
+        for r in range(n - 1):
+            o = np.flatnonzero(comp[r + 1 :] != comp[r]) + r + 1
+            if two:
+                o = o[mine[o] != mine[r]]
+            same = sig[o] == sig[r]
+            much = same.sum(axis=1)
+            ok = much >= AGREE
+            if band:
+                ok &= ~same[:, : band * ROWS].reshape(len(o), band, ROWS).all(axis=2).any(axis=1)
+            left.append(np.full(ok.sum(), r))
+            right.append(o[ok])
+            agree.append(much[ok])
+        left, right = np.concatenate(left), np.concatenate(right)
+        if not len(left):
+            return
+        order = np.argsort(-np.concatenate(agree), kind="stable")
+        used = np.unique(np.concatenate((left, right)))
+        w, g = shingle_sets(texts.take(pa.array(used)), k)
+        size = np.zeros(n, np.int64)
+        size[used] = np.bincount(w, minlength=len(used))
+        place = np.zeros(n, np.int64)
+        place[used] = np.arange(len(used))
+        both = None
+        if len(left) > 300:  # shared shingles of all pairs at once
+            names, col, df = np.unique(g, return_inverse=True, return_counts=True)
+            shared = np.flatnonzero(df > 1)
+            both = np.zeros((len(used), len(used)), np.float32)
+            slot = np.full(len(names), -1)
+            slot[shared] = np.arange(len(shared))
+            s = slot[col]
+            for lo in range(0, len(shared), 4096):
+                at = (s >= lo) & (s < lo + 4096)
+                x = np.zeros((len(used), min(4096, len(shared) - lo)), np.float32)
+                x[w[at], s[at] - lo] = 1
+                both += x @ x.T
+        cut = np.searchsorted(w, np.arange(len(used) + 1))
+        for p in order.tolist():
+            a, b = int(left[p]), int(right[p])
+            ca, cb = find(int(comp[a])), find(int(comp[b]))
+            if ca == cb:
+                continue
+            x, y = place[a], place[b]
+            n_both = int(both[x, y]) if both is not None else len(np.intersect1d(g[cut[x] : cut[x + 1]], g[cut[y] : cut[y + 1]], assume_unique=True))
+            if n_both and 100 * n_both >= SIMILARITY * (size[a] + size[b] - n_both):
+                root[max(ca, cb)] = min(ca, cb)
+                yield int(doc[a]), int(doc[b])
+
+    def groups(t: pa.Table, last: bool):
+        key, i, j, band, mine, doc, comp = (t.column(c).to_numpy() for c in ("key", "i", "j", "band", "mine", "doc_id", "comp"))
+        n = len(key)
+        new = np.flatnonzero(np.concatenate(([True], (key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1]))))
+        ends = np.concatenate((new[1:], [n]))
+        upto = n if last else int(new[-1])
+        sig = t.column("sig").combine_chunks()
+        sig = pa.concat_arrays([c.flatten() for c in sig.chunks]) if isinstance(sig, pa.ChunkedArray) else sig.flatten()
+        sig = sig.to_numpy().reshape(n, HASHES)
+        texts = pa.concat_arrays([c.cast(pa.large_string()) for c in t.column("text").chunks])
+        out = []
+        for s, e in zip(new.tolist(), ends.tolist(), strict=True):
+            if s < upto and (comp[s:e] != comp[s]).any():
+                out += linked(int(band[s]), i[s] != j[s], mine[s:e], doc[s:e], comp[s:e], sig[s:e], texts.take(pa.array(np.arange(s, e))))
+        return out, upto
 
     def run(batches):
         held: list[pa.RecordBatch] = []
-
-        def pairs(t: pa.Table, last: bool):
-            key, i, j = (t.column(c).to_numpy() for c in ("key", "i", "j"))
-            n = len(key)
-            new = np.flatnonzero(np.concatenate(([True], (key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1]))))
-            ends = np.concatenate((new[1:], [n]))
-            upto = n if last else int(new[-1])
-            doc, comp, mine = (t.column(c).to_numpy() for c in ("doc_id", "comp", "mine"))
-            sig = t.column("sig").combine_chunks()
-            sig = (sig.flatten() if isinstance(sig, pa.ListArray) else pa.concat_arrays([c.flatten() for c in sig.chunks])).to_numpy().reshape(n, HASHES)
-            out = []
-            for s, e in zip(new.tolist(), ends.tolist(), strict=True):
-                if s >= upto or (comp[s:e] == comp[s]).all():
-                    continue
-                c, d, m, g = comp[s:e], doc[s:e], mine[s:e], sig[s:e]
-                for r in range(e - s - 1):
-                    o = np.flatnonzero(c[r + 1 :] != c[r]) + r + 1
-                    if i[s] != j[s]:
-                        o = o[m[o] != m[r]]
-                    o = o[(g[o] == g[r]).sum(axis=1) >= AGREE]
-                    out += [(min(d[r], y), max(d[r], y)) for y in d[o]]
-            return out, upto
-
-        def emit(out):
-            return pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], pa.int64()), pa.array([y for _, y in out], pa.int64())], names=["dst", "src"])
-
         for batch in batches:
             held.append(batch)
-            if sum(b.num_rows for b in held) >= 8192:
-                t = pa.Table.from_batches(held).combine_chunks()
-                out, upto = pairs(t, False)
-                held = t.slice(upto).combine_chunks().to_batches()
-                yield emit(set(out))
-        if held:
-            yield emit(set(pairs(pa.Table.from_batches(held).combine_chunks(), True)[0]))
+            if sum(b.nbytes for b in held) >= 16_000_000:
+                out, upto = groups(pa.Table.from_batches(held), False)
+                held = pa.Table.from_batches(held).slice(upto).to_batches()
+                yield _pairs(out)
+        if held and sum(b.num_rows for b in held):
+            yield _pairs(groups(pa.Table.from_batches(held), True)[0])
 
     n = max(1, int(members.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     rows = rows.repartition(n, "key", "i", "j").sortWithinPartitions("key", "i", "j")
-    return rows.mapInArrow(run, "dst long, src long").distinct()
+    return rows.mapInArrow(run, "src long, dst long")
+
+
+def _pairs(rows: list[tuple[int, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([x for x, _ in rows], pa.int64()), pa.array([y for _, y in rows], pa.int64())], names=["src", "dst"])
 
 
 def near_duplicates(docs: DataFrame, k: int = 5) -> DataFrame:
@@ -175,9 +228,10 @@ def near_duplicates(docs: DataFrame, k: int = 5) -> DataFrame:
     bands = HASHES // ROWS
     keys = F.array(*[F.xxhash64(F.lit(i), *[F.col("sig")[i * ROWS + r] for r in range(ROWS)]) for i in range(bands)])
     sigs = sets.select("doc_id", "sig")
-    in_band = sets.select("doc_id", keys.alias("keys")).join(reps, "doc_id", "left_semi").select("doc_id", F.explode("keys").alias("key"))
-    sizes = in_band.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
-    buckets = written(in_band.join(sizes, "key").select("key", "doc_id", "size"), "buckets")
+    in_band = sets.select("doc_id", "n_shingles", keys.alias("keys")).join(reps, "doc_id", "left_semi")
+    in_band = in_band.select("doc_id", "n_shingles", F.posexplode("keys").alias("band", "key"))
+    sizes = in_band.groupBy("key").agg(F.count("*").alias("size"), F.sum("n_shingles").alias("bulk")).where("size > 1")
+    buckets = written(in_band.join(sizes, "key").select("key", "band", "doc_id", "size", "bulk"), "buckets")
     weight = buckets.groupBy("doc_id").agg(F.sum("size").alias("weight"))
     heavy = buckets.join(weight, "doc_id")
     centre = heavy.groupBy("key").agg(F.max(F.struct("weight", (-F.col("doc_id")).alias("low"))).alias("top"))
@@ -187,11 +241,10 @@ def near_duplicates(docs: DataFrame, k: int = 5) -> DataFrame:
 
     comps = connected_components(links)
     label = buckets.where("size > 2").join(comps, F.col("doc_id") == F.col("node"), "left")
-    label = written(label.select("key", "doc_id", "size", F.coalesce("component", "doc_id").alias("comp")), "labels")
+    label = written(label.select("key", "band", "doc_id", "size", "bulk", F.coalesce("component", "doc_id").alias("comp")), "labels")
     open_ = label.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key")
-    across = label.join(open_, "key").join(sigs, "doc_id").select("key", "size", "doc_id", "comp", "sig")
-    more = _across(across).join(links, ["src", "dst"], "left_anti")
-    links = links.union(written(_confirmed(written(more, "across"), docs, k), "links"))
+    across = label.join(open_, "key").join(sigs, "doc_id").join(docs, "doc_id")
+    links = links.union(written(_across(across, k), "across"))
 
     twice = member.where("rep IS NOT NULL").groupBy("doc_id").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo <> hi")
     comps = connected_components(links.union(twice.select("lo", "hi")))
