@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 
-from . import decontaminate, langid, linededup, mixing, toxicity, urlfilter
+from . import decontaminate, fingerprint, langid, linededup, lm, mixing, pii, toxicity, urlfilter
 from .common import table
 from .minhash import near_duplicates
 
@@ -22,6 +22,14 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op3_edit_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.fingerprints(table(spark, sf_dir, "documents"))
+
+
+def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.held_out_scores(table(spark, sf_dir, "documents"))
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return linededup.dedup_lines(docs).select("doc_id", "n_words", "n_removed", "removed", "text")
@@ -43,15 +51,22 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predictions(table(spark, sf_dir, "documents"))
 
 
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.detect(table(spark, sf_dir, "documents")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_source_mixing": op1_source_mixing,
         "op2_decontamination": op2_decontamination,
+        "op3_edit_fingerprint": op3_edit_fingerprint,
+        "op4_lm_scoring": op4_lm_scoring,
         "op5_line_dedup": op5_line_dedup,
         "op6_url_filter": op6_url_filter,
         "op7_toxicity": op7_toxicity,
         "op8_minhash_near_dedup": op8_minhash_near_dedup,
         "op9_language_id": op9_language_id,
+        "op10_pii": op10_pii,
         "pipeline": corpus_pipeline.run,
     }
 
