@@ -98,7 +98,7 @@ def cdc_source_info(spark, sf_dir):
                     F.col("s.is_last_record_in_transaction_in_partition").alias("is_last"), F.col("s.number_records_in_transaction").alias("n_records"))
 
 
-@query("""SELECT * FROM (VALUES (0, CAST(42 AS BIGINT), true, 2.5, CAST(1.5 AS FLOAT), 'x', 'bytesVal', CAST('1.10' AS VARCHAR), 2), (1, CAST(0 AS BIGINT), false, 0.0, CAST(0 AS FLOAT), '', NULL, 'abc', 2),
+@query("""SELECT * FROM (VALUES (0, CAST(42 AS BIGINT), true, CAST(2.5 AS DOUBLE), CAST(1.5 AS FLOAT), 'x', 'bytesVal', CAST('1.10' AS VARCHAR), 2), (1, CAST(0 AS BIGINT), false, 0.0, CAST(0 AS FLOAT), '', NULL, 'abc', 2),
   (2, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL), (3, CAST(9007199254740993 AS BIGINT), false, -1.0, CAST(0 AS FLOAT), 'é', '', '1', 0))
   AS t(id, i, b, f, f32, s, bytes_text, n, elements)""")
 def cdc_type_coercion(spark, sf_dir):
