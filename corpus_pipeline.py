@@ -18,7 +18,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later repeats of passages go; documents of which nothing else remains go with them."""
     bounded_batches(spark)
-    out = linededup.dedup_lines(docs).where("n_removed = 0 OR n_removed < n_words")
+    out = linededup.dedup_lines(docs).where("NOT emptied")
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
 

@@ -17,10 +17,11 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_words, hash_words, ints_of, mix, odd_constants, owner, slices, texts_of, written
+from .common import ascii_words, hash_words, ints_of, mix, owner, slices, texts_of, written
 
 #: Words of a re-flowed line, line hashes in a window, words of a run that is deleted.
 LINE, WINDOW, RUN = 26, 25, 50
@@ -28,7 +29,16 @@ LINE, WINDOW, RUN = 26, 25, 50
 SEND = 2_000_000
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
-_UPPER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+_BASE = 0x9E3779B97F4A7C15 | 1
+_POWERS: list[np.ndarray] = []
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first n powers of _BASE and of its inverse, modulo 2 ** 64."""
+    if not _POWERS or len(_POWERS[0]) < n:
+        size = 1 << max(20, (n - 1).bit_length())
+        _POWERS[:] = [np.cumprod(np.concatenate((np.ones(1, np.uint64), np.full(size - 1, b, np.uint64))), dtype=np.uint64) for b in (_BASE, pow(_BASE, -1, 1 << 64))]
+    return _POWERS[0][:n], _POWERS[1][:n]
 
 
 def _slide(x: np.ndarray, w: int, f) -> np.ndarray:
@@ -46,11 +56,9 @@ def winnow(h: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     n = len(h)
     if n < LINE + WINDOW - 1:
         return np.empty(0, np.int64), np.empty(0, np.uint64)
-    c = odd_constants(LINE, 5)
-    g = np.zeros(n - LINE + 1, np.uint64)
-    for j in range(LINE):
-        g += h[j : n - LINE + 1 + j] * c[j]
-    g = mix(g) | np.uint64(1)
+    up, down = _powers(n)
+    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(h * up, dtype=np.uint64)))
+    g = mix((sums[LINE:] - sums[:-LINE]) * down[: n - LINE + 1]) | np.uint64(1)
     who = owner(off)
     low = _slide(g, WINDOW, np.minimum)
     low[who[: len(low)] != who[LINE + WINDOW - 2 :]] = 0  # such a window leaves its text
@@ -157,28 +165,22 @@ def _contexts(docs: DataFrame, asked: DataFrame) -> DataFrame:
     return docs.select("_key", "_th", "text").join(places, ["_key", "_th"]).mapInArrow(joined, kind)
 
 
-def _cut(text: str, chains: list[dict]) -> tuple[str, list[tuple[int, int]], int, int]:
-    """The text without its repeated runs, their code points [start, end), words removed, words in all."""
+def _extended(h: np.ndarray, first: int, last: int, before: np.ndarray, after: np.ndarray) -> tuple[int, int]:
+    """The words [a, b) of a run, as far as the words around it agree; h: the text's hashed words."""
+    a, b = first, last + LINE
+    m = min(a, len(before))
+    differ = np.flatnonzero(h[a - m : a][::-1] != before[:m])
+    a -= int(differ[0]) if len(differ) else m
+    m = min(len(h) - b, len(after))
+    differ = np.flatnonzero(h[b : b + m] != after[:m])
+    b += int(differ[0]) if len(differ) else m
+    return a, b
+
+
+def _cut(text: str, gone: np.ndarray) -> tuple[str, list[dict]]:
+    """The text without the words that are gone, and the code points [start, end) that went."""
     spans = [m.span() for m in WORD.finditer(text)]
-    h = hash_words(np.array([text[s:e].translate(_UPPER) for s, e in spans], object)).view(np.int64) if spans else []
-    gone = np.zeros(len(spans) + 1, np.int64)
-    for c in chains:
-        a, b = c["first"], c["last"] + LINE
-        for x in c["before"] or ():
-            if a == 0 or h[a - 1] != x:
-                break
-            a -= 1
-        for x in c["after"] or ():
-            if b >= len(spans) or h[b] != x:
-                break
-            b += 1
-        if b - a >= RUN:
-            gone[a] += 1
-            gone[b] -= 1
-    off = np.cumsum(gone[:-1]) > 0
-    if not off.any():
-        return text, [], 0, len(spans)
-    edge = np.flatnonzero(np.diff(np.concatenate(([False], off, [False])).astype(np.int8)))
+    edge = np.flatnonzero(np.diff(np.concatenate(([0], gone.astype(np.int8), [0]))))
     cuts = []
     for a, b in edge.reshape(-1, 2).tolist():
         if b < len(spans):
@@ -190,12 +192,12 @@ def _cut(text: str, chains: list[dict]) -> tuple[str, list[tuple[int, int]], int
         kept.append(text[at:s])
         at = e
     kept.append(text[at:])
-    return "".join(kept), cuts, int(off.sum()), len(spans)
+    return "".join(kept), [{"start": s, "end": e} for s, e in cuts]
 
 
 def dedup_lines(docs: DataFrame) -> DataFrame:
-    """docs with text cleaned and three more columns: removed (spans of the text before, code points [start, end)), n_words
-    and n_removed (words of the text before, and those removed). One row for each row of docs (doc_id, text, any others).
+    """docs with text cleaned and three more columns: removed (spans of the text before, code points [start, end)),
+    n_removed (words), and emptied (whether they were all). One row for each row of docs (doc_id, text, any others).
 
     The place that stays is the first by doc_id, then by position; with null doc_id first of all. Rows that repeat a doc_id
     with another text are ordered by a hash of the text; rows that repeat both are one document, of which no copy counts as
@@ -216,27 +218,45 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     runs = chains.join(left, ["c", "cth", "cfirst"]).join(right, ["c", "cth", "clast"])
     runs = runs.groupBy("_key", "_th").agg(F.collect_list(F.struct("first", "last", "before", "after")).alias("_runs"))
     rows = keyed.join(runs, ["_key", "_th"], "left").select(*docs.columns, "_runs")
-    extra = "removed array<struct<start:int,end:int>>, n_words int, n_removed int"
+    extra = "removed array<struct<start:int,end:int>>, n_removed int, emptied boolean"
     schema = docs.select(*docs.columns).schema
 
     def run(batches):
         spans = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
         for batch in slices(batches, "text", 4_000_000):
-            texts = ints_of(batch, "text").to_pylist()
+            n = batch.num_rows
             found = ints_of(batch, "_runs")
-            some = {i: found[i].as_py() for i in np.flatnonzero(found.is_valid().to_numpy(zero_copy_only=False)).tolist()}
-            cuts, words, gone = [[] for _ in texts], [0 if t is None else -1 for t in texts], [0] * len(texts)
-            for i, r in some.items():
-                if texts[i] is not None:
-                    texts[i], c, gone[i], words[i] = _cut(texts[i], r)
-                    cuts[i] = [{"start": s, "end": e} for s, e in c]
-            rest = [i for i, n in enumerate(words) if n < 0]
-            off, _, _ = ascii_words(pa.array([texts[i] for i in rest], pa.large_string()))
-            for i, n in zip(rest, np.diff(off).tolist(), strict=True):
-                words[i] = n
-            cols = [pa.array(texts, batch.schema.field("text").type) if f.name == "text" else batch.column(i) for i, f in enumerate(batch.schema) if f.name != "_runs"]
+            some = np.flatnonzero(pc.and_(found.is_valid(), ints_of(batch, "text").is_valid()).to_numpy(zero_copy_only=False))
+            texts = texts_of(batch).take(pa.array(some))
+            off, code, vocab = ascii_words(texts)
+            h = hash_words(vocab).view(np.int64)[code] if len(vocab) else np.empty(0, np.int64)
+            runs = found.take(pa.array(some))
+            each, flat = runs.offsets.to_numpy(), runs.flatten()
+            each = each - each[0] if len(each) else each
+            first, last = flat.field("first").to_numpy(), flat.field("last").to_numpy()
+            (b_off, b), (a_off, a) = ((x.offsets.to_numpy(), x.values.to_numpy()) for x in (flat.field("before"), flat.field("after")))
+            changed, new, removed, emptied = np.zeros(n, bool), [], np.zeros(n, np.int32), np.zeros(n, bool)
+            cuts = [()] * n
+            for j, i in enumerate(some.tolist()):
+                w = h[off[j] : off[j + 1]]
+                gone = np.zeros(len(w) + 1, np.int32)
+                for r in range(each[j], each[j + 1]):
+                    s, e = _extended(w, int(first[r]), int(last[r]), b[b_off[r] : b_off[r + 1]], a[a_off[r] : a_off[r + 1]])
+                    if e - s >= RUN:
+                        gone[s] += 1
+                        gone[e] -= 1
+                off_words = np.cumsum(gone[:-1]) > 0
+                if off_words.any():
+                    text, cuts[i] = _cut(texts[j].as_py(), off_words)
+                    new.append(text)
+                    changed[i], removed[i], emptied[i] = True, off_words.sum(), off_words.all()
             names = [f.name for f in batch.schema if f.name != "_runs"]
-            yield pa.RecordBatch.from_arrays([*cols, pa.array(cuts, spans), pa.array(words, pa.int32()), pa.array(gone, pa.int32())], names=[*names, "removed", "n_words", "n_removed"])
+            cols = [batch.column(i) for i, f in enumerate(batch.schema) if f.name != "_runs"]
+            if changed.any():
+                at = names.index("text")
+                whole = cols[at].take(pa.array(np.arange(n)))
+                cols[at] = pc.replace_with_mask(whole, pa.array(changed), pa.array(new, whole.type))
+            yield pa.RecordBatch.from_arrays([*cols, pa.array(cuts, spans), pa.array(removed), pa.array(emptied)], names=[*names, "removed", "n_removed", "emptied"])
 
     kind = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     return rows.mapInArrow(run, f"{kind}, {extra}")

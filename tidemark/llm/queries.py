@@ -32,7 +32,7 @@ def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return linededup.dedup_lines(docs).select("doc_id", "n_words", "n_removed", "removed", "text")
+    return linededup.dedup_lines(docs).select("doc_id", "n_removed", "emptied", "removed", "text")
 
 
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
