@@ -18,9 +18,9 @@ from pyspark.sql import functions as F
 from .common import ints_of, mix, shared_dir, slices, texts_of, written
 
 #: Steps kept of a text (the scale), steps after which the walk's bits repeat, code points that walk together.
-SAMPLES, PERIOD, WALK_CHARS = 256, 4096, 16_000_000
+SAMPLES, PERIOD, WALK_CHARS = 256, 4096, 8_000_000
 #: Bands of a fingerprint, sampled characters in a band, likeness that a link needs, edits per character that it may have.
-BANDS, WIDTH, LIKE, EDITS = 24, 8, 0.55, 0.2
+BANDS, WIDTH, LIKE, EDITS = 24, 8, 0.25, 0.2
 #: Ranges of doc_id that the documents are dealt to, for each shuffle partition.
 RANGES = 2
 
