@@ -116,3 +116,20 @@ def children(records: DataFrame) -> DataFrame:
     """One row for each child partition that child records list: token, parents (sorted), start, origin (the reading token)."""
     c = records.where("record_type = 'child'").select(F.col("partition_token").alias("origin"), F.col("child.start_timestamp").alias("start"), F.explode("child.child_partitions").alias("c"))
     return c.select(F.col("c.token").alias("token"), F.sort_array("c.parent_partition_tokens").alias("parents"), "start", "origin")
+
+
+def partition_records(rows: DataFrame, token: str = "partition_token") -> DataFrame:
+    """Records of streams with mutable key ranges: kind (start, event, end), token, time, from_root, moved_from, moved_to.
+
+    rows: structs partition_start (start_timestamp, partition_tokens), partition_event (commit_timestamp, partition_token,
+    move_in, move_out) and partition_end (end_timestamp, partition_token), of which one is set. Nothing downstream reads them;
+    a start of several tokens gives a row for each.
+    """
+    s, e, x = F.col("partition_start"), F.col("partition_event"), F.col("partition_end")
+    none = F.array().cast("array<string>")
+    kind = F.when(s.isNotNull(), "start").when(e.isNotNull(), "event").when(x.isNotNull(), "end")
+    tokens = F.when(s.isNotNull(), s["partition_tokens"]).otherwise(F.array(F.coalesce(e["partition_token"], x["partition_token"])))
+    return rows.where(kind.isNotNull()).select(
+        kind.alias("kind"), F.explode(tokens).alias("token"), F.coalesce(s["start_timestamp"], e["commit_timestamp"], x["end_timestamp"]).alias("time"),
+        (s.isNotNull() & (F.col(token) == ROOT)).alias("from_root"), F.coalesce(e["move_in"], none).alias("moved_from"), F.coalesce(e["move_out"], none).alias("moved_to"),
+    )

@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalars import SLOW, is_stuck, latencies, stuck_intervals
+from ..functions.scalars import LATE_HEARTBEAT, SLOW, is_stuck, latencies, stuck_intervals
 
 QUANTILES = (0.5, 0.95, 0.99)
 
@@ -48,6 +48,11 @@ def stuck(partitions: DataFrame, last: str, now: Column, heartbeat: int, max_mis
     return p.withColumns({"intervals": stuck_intervals(F.col(last), now, F.lit(heartbeat).cast("long")), "is_stuck": is_stuck(F.col(last), now, F.lit(heartbeat).cast("long"), max_missed)})
 
 
+def late_heartbeats(heartbeats: DataFrame, now_ms: Column, limit: int = LATE_HEARTBEAT) -> DataFrame:
+    """Heartbeats (at_ms) that lie further back than the limit."""
+    return heartbeats.where(now_ms - F.col("at_ms") > limit)
+
+
 def task_activity(claims: DataFrame) -> DataFrame:
     """One row: distinct partitions in work, tasks, and tasks that own none in progress."""
     work = F.when(~F.col("state_ord").isin(4, 5), F.col("token"))

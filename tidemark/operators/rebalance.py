@@ -12,6 +12,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .decode import ROOT
 from .lineage import CREATED, FINISHED, READY, REMOVED, RUNNING, SCHEDULED
 from .ownership import first_by_state
 
@@ -114,3 +115,26 @@ def share_equally(claims: DataFrame, leader: str, alive: list[str], most: int =
     rows = equal_sharing([r.asDict() for r in claims.select(*COLUMNS).collect()], leader, alive)
     kinds = "task_uid string, kind string, token string, state_ord long, assignee string"
     return claims.sparkSession.createDataFrame([tuple(r[c] for c in COLUMNS) for r in rows], kinds)
+
+
+def cold_start(claims: DataFrame) -> bool:
+    """Whether nothing is in progress anywhere: then the root partition is read again."""
+    return claims.where(~F.col("state_ord").isin(FINISHED, REMOVED)).limit(1).count() == 0
+
+
+def new_epoch(claims: DataFrame, leader: str, answered: DataFrame, expected: DataFrame) -> DataFrame:
+    """The claims that a leader's new epoch publishes.
+
+    answered: consumer_id, task_uid of the generation; expected: consumer_id. An expected consumer without an answer raises.
+    Tasks that did not answer are dropped and what they had is shared out; on a cold start the root joins the leader's.
+    """
+    absent = expected.join(answered, "consumer_id", "left_anti").limit(5).collect()
+    if absent:
+        raise ValueError(f"no answer from {', '.join(sorted(r['consumer_id'] for r in absent))}")
+    alive = sorted({r["task_uid"] for r in answered.select("task_uid").distinct().collect()} | {leader})
+    mine = share_equally(claims, leader, alive)
+    others = claims.where(F.col("task_uid").isin(alive) & (F.col("task_uid") != leader)).select(*COLUMNS)
+    out = mine.unionByName(others)
+    if cold_start(claims):
+        out = out.unionByName(claims.sparkSession.createDataFrame([(leader, "owned", ROOT, CREATED, None)], "task_uid string, kind string, token string, state_ord long, assignee string"))
+    return out

@@ -44,6 +44,20 @@ def merged(states: DataFrame, messages: DataFrame) -> DataFrame:
     return got.select("task_uid", *[F.col(f"_x.{c}").alias(c) for c in rest])
 
 
+def epoch_update(states: DataFrame, message_states: DataFrame, me: str) -> DataFrame:
+    """Others' states after an UPDATE_EPOCH: of tasks that the message lists only, the newer of both; of equal times ours."""
+    ours = states.join(message_states.select("task_uid"), "task_uid", "left_semi").withColumn("_old", F.lit(1))
+    both = ours.unionByName(message_states.where(F.col("task_uid") != me).withColumn("_old", F.lit(0)))
+    rest = [c for c in states.columns if c != "task_uid"]
+    got = both.groupBy("task_uid").agg(F.max_by(F.struct(*rest), F.struct("state_ts", "_old")).alias("_x"))
+    return got.select("task_uid", *[F.col(f"_x.{c}").alias(c) for c in rest])
+
+
+def new_epoch_states(message_states: DataFrame, me: str) -> DataFrame:
+    """Others' states after a NEW_EPOCH: the message's, whatever was known before."""
+    return message_states.where(F.col("task_uid") != me)
+
+
 def missing_consumers(expected: DataFrame, log: DataFrame, generation: int) -> DataFrame:
     """Expected consumers from which no answer of the generation came."""
     answered = log.where((F.col("message_type") == "REBALANCE_ANSWER") & (F.col("generation") == generation)).select("consumer_id")

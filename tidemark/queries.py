@@ -12,7 +12,7 @@ from .functions import scalars
 from .functions.types import ColumnType, coerce
 from .operators import decode, envelope, lineage, metrics, ownership, rebalance, schema, syncfold, watermark
 from .plans.fixtures import BASE_US, NOW_US, fixture, oracle
-from .streaming import lifecycle
+from .streaming import lifecycle, sink
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -636,3 +636,52 @@ def rebalance_debounce(spark, sf_dir):
     c = fixture(spark, sf_dir, "changes").select("user_id", F.timestamp_micros("commit_us").alias("ts"))
     b = c.groupBy("user_id", F.session_window("ts", "10 minutes").alias("w")).agg(F.count("*").alias("events"))
     return b.select("user_id", F.unix_micros("w.start").alias("started"), "events")
+
+
+@query("""WITH base AS (SELECT * EXCLUDE n FROM (SELECT *, row_number() OVER (PARTITION BY task_uid ORDER BY state_ts DESC, log_offset) AS n FROM sync_log WHERE log_offset < 300) WHERE n = 1),
+m AS (SELECT * EXCLUDE n FROM (SELECT *, row_number() OVER (PARTITION BY task_uid ORDER BY state_ts DESC, log_offset) AS n FROM sync_log WHERE log_offset BETWEEN 200 AND 400) WHERE n = 1),
+b AS (SELECT *, 1 AS old FROM base WHERE task_uid IN (SELECT task_uid FROM m) UNION ALL SELECT *, 0 FROM m WHERE task_uid <> 'task5')
+SELECT task_uid, log_offset, state_ts FROM (SELECT *, row_number() OVER (PARTITION BY task_uid ORDER BY state_ts DESC, old DESC) AS n FROM b) WHERE n = 1""")
+def epoch_update(spark, sf_dir):
+    log = fixture(spark, sf_dir, "sync_log")
+    states, message = syncfold.latest_states(log.where("log_offset < 300")), syncfold.latest_states(log.where("log_offset BETWEEN 200 AND 400"))
+    return syncfold.epoch_update(states, message, "task5").select("task_uid", "log_offset", "state_ts")
+
+
+@query("SELECT count(DISTINCT token) AS tokens, 0 AS lost FROM claims WHERE NOT (task_uid IN ('task3', 'task4') AND kind = 'owned' AND state_ord = 5)")
+def new_epoch(spark, sf_dir):
+    c = fixture(spark, sf_dir, "claims")
+    answered = spark.createDataFrame([("c1", "task1"), ("c2", "task2")], "consumer_id string, task_uid string")
+    out = rebalance.new_epoch(c, "task0", answered, answered.select("consumer_id"))
+    live = c.where("NOT (task_uid IN ('task3', 'task4') AND kind = 'owned' AND state_ord = 5)").select("token")
+    lost = live.join(out.select("token"), "token", "left_anti").select("token").distinct()
+    return live.agg(F.count_distinct("token").alias("tokens")).crossJoin(lost.agg(F.count("*").cast("int").alias("lost")))
+
+
+@query("""SELECT * FROM (VALUES ('end', 'a', '2024-01-01T00:00:02Z', false, '', ''), ('event', 'a', '2024-01-01T00:00:01Z', false, 'b', 'c,d'), ('start', 'x', '2024-01-01T00:00:00Z', true, '', ''),
+('start', 'y', '2024-01-01T00:00:00Z', true, '', '')) AS t(kind, token, time, from_root, moved_from, moved_to)""")
+def partition_records(spark, sf_dir):
+    kinds = ("partition_token string, partition_start struct<start_timestamp:string,partition_tokens:array<string>>, "
+             "partition_event struct<commit_timestamp:string,partition_token:string,move_in:array<string>,move_out:array<string>>, partition_end struct<end_timestamp:string,partition_token:string>")
+    rows = [("Parent0", ("2024-01-01T00:00:00Z", ["x", "y"]), None, None), ("a", None, ("2024-01-01T00:00:01Z", "a", ["b"], ["c", "d"]), None), ("a", None, None, ("2024-01-01T00:00:02Z", "a"))]
+    d = decode.partition_records(spark.createDataFrame(rows, kinds))
+    return d.select("kind", "token", "time", "from_root", F.array_join("moved_from", ",").alias("moved_from"), F.array_join("moved_to", ",").alias("moved_to"))
+
+
+@query(f"SELECT partition_token, max(commit_ms) AS at_ms FROM changes GROUP BY partition_token HAVING {NOW_US // 1000} - max(commit_ms) > 60000")
+def late_heartbeats(spark, sf_dir):
+    h = fixture(spark, sf_dir, "changes").groupBy("partition_token").agg(F.max("commit_ms").alias("at_ms"))
+    return metrics.late_heartbeats(h, F.lit(NOW_US // 1000))
+
+
+@query(f"SELECT max(({BASE_US} + 5000000000 - start_us) // 300000000) AS longest FROM partitions WHERE token <> 'Parent0'")
+def longest_stuck(spark, sf_dir):
+    p = metrics.stuck(fixture(spark, sf_dir, "partitions"), "start_us", F.lit(BASE_US + 5_000_000_000), 300_000_000)
+    return p.agg(F.max("intervals").alias("longest"))
+
+
+@query("SELECT user_id, count(*) AS n, true AS one_partition FROM changes GROUP BY user_id")
+def key_order(spark, sf_dir):
+    c = fixture(spark, sf_dir, "changes").select(F.col("user_id").alias("key"), F.col("commit_us").alias("ts_us"))
+    p = sink.by_key(c, 8).select("key", F.spark_partition_id().alias("p"))
+    return p.groupBy(F.col("key").alias("user_id")).agg(F.count("*").alias("n"), (F.count_distinct("p") == 1).alias("one_partition"))

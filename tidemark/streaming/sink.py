@@ -9,6 +9,11 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators.watermark import low_watermark
 
 
+def by_key(envelopes: DataFrame, partitions: int, key: str = "key", *order: str) -> DataFrame:
+    """envelopes dealt so that all of a key lie in one partition, in order."""
+    return envelopes.repartition(partitions, key).sortWithinPartitions(key, *(order or ("ts_us",)))
+
+
 def write_batch(path: str):
     """A function for foreachBatch: a batch that runs again after a failure replaces what it wrote."""
 
