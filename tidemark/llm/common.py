@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
+import ctypes
 import tempfile
 import uuid
 
@@ -20,7 +22,7 @@ import tidemark.llm
 cloudpickle.register_pickle_by_value(tidemark.llm)
 
 #: Characters of text that a Python worker holds as tokens at once; a longer single text is a slice of its own.
-SLICE_CHARS = 8_000_000
+SLICE_CHARS = 5_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -89,6 +91,14 @@ def slices(batches, column: str, chars: int = SLICE_CHARS):
             to = max(at + 1, int(np.searchsorted(ends, base + chars, side="right")))
             yield batch.slice(at, to - at)
             at = to
+    _give_back()
+
+
+def _give_back() -> None:
+    """What a partition's arrays took returns to the machine: the worker lives on and shares the executor's memory."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 def texts_of(batch: pa.RecordBatch, column: str = "text") -> pa.Array:

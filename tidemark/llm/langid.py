@@ -66,9 +66,14 @@ def _word_grams(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, n
 
 def _tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
     parts = pc.utf8_split_whitespace(pc.utf8_lower(texts))
-    off = parts.offsets.to_numpy().astype(np.int64)
-    enc = parts.flatten().dictionary_encode()
-    return off - off[0], enc.indices.to_numpy(zero_copy_only=False), [w.replace("\x02", "") for w in enc.dictionary.to_pylist()]
+    flat, off = parts.flatten(), parts.offsets.to_numpy().astype(np.int64)
+    off = off - off[0]
+    full = pc.greater(pc.binary_length(flat), 0).to_numpy(zero_copy_only=False)
+    if not full.all():
+        off = np.concatenate(([0], np.cumsum(full)))[off]
+        flat = flat.filter(pa.array(full))
+    enc = flat.dictionary_encode()
+    return off, enc.indices.to_numpy(zero_copy_only=False), [w.replace("\x02", "") for w in enc.dictionary.to_pylist()]
 
 
 class Model:
@@ -209,7 +214,7 @@ def identify(docs: DataFrame, model: Model, switch: float = SWITCH) -> DataFrame
     def run(batches):
         kinds = pa.list_(pa.struct([("lang", pa.string()), ("first_word", pa.int32()), ("words", pa.int32())]))
         langs = np.array([*model.langs, "und"], object)
-        for batch in slices(batches, "text", 12_000_000):
+        for batch in slices(batches, "text"):
             pred, score, lists, first, size, lang = label(texts_of(batch), model, switch)
             spans = [pa.array(langs[lang.astype(int)], pa.string()), pa.array(first.astype(np.int32)), pa.array(size.astype(np.int32))]
             spans = pa.StructArray.from_arrays(spans, fields=list(kinds.value_type))
@@ -227,7 +232,7 @@ def accepted(docs: DataFrame, model: Model, switch: float = SWITCH) -> DataFrame
 
     def run(batches):
         langs = np.array([*model.langs, "und"], object)
-        for batch in slices(batches, "text", 12_000_000):
+        for batch in slices(batches, "text"):
             pred = label(texts_of(batch), model, switch)[0]
             at = batch.schema.get_field_index("lang")
             kept = pa.array(pred < len(model.langs))
