@@ -142,4 +142,4 @@ def mix(docs: DataFrame, powers: dict[str, float] | None = None, keep: float = K
     out = with_topics(docs)
     same = (F.coalesce(F.col("source").cast("string"), F.lit(null)) == F.col("_source")) & (F.coalesce(F.col("lang").cast("string"), F.lit(null)) == F.col("_lang")) & (F.col("topic") == F.col("_topic"))
     drawn = F.pmod(F.xxhash64(F.lit(seed), F.col("doc_id")), F.lit(2**53)) / float(2**53)
-    return out.join(table, same, "left").select(*docs.columns, "topic", "n_tokens", "weight", "probability", (drawn < F.col("probability")).alias("sampled"))
+    return out.join(table, same, "left").select(*docs.columns, "topic", "n_tokens", "weight", "probability", ((drawn < F.col("probability")) & (F.col("n_tokens") > 0)).alias("sampled"))
