@@ -111,11 +111,11 @@ def cdc_type_coercion(spark, sf_dir):
                     c("n", "NUMERIC"), F.when(F.col("a").isNotNull(), F.size(arrays)).alias("elements"))
 
 
-@query("SELECT commit_us AS ts_us, 'lag' AS kind, user_id, value FROM changes WHERE mod_type = 'INSERT' AND is_last")
+@query("SELECT commit_us AS ts_us, 'insert' AS kind, user_id, value FROM changes WHERE mod_type = 'INSERT' AND is_last")
 def cdc_inserts_last(spark, sf_dir):
     m = mods(spark, sf_dir).where("data.mod_type = 'INSERT' AND data.is_last_record_in_transaction_in_partition")
     e = envelope.envelope(m, USERS, ["user_id"], STREAM)
-    return e.select("ts_us", F.lit("lag").alias("kind"), "key.user_id", "after.value")
+    return e.select("ts_us", F.lit("insert").alias("kind"), "key.user_id", "after.value")
 
 
 @query("""SELECT count(*) AS n, min(k) AS least, max(k) AS most FROM (SELECT user_id, min(commit_us) AS k FROM changes GROUP BY user_id)""")
@@ -166,11 +166,11 @@ def decode_child_partitions(spark, sf_dir):
     return decode.children(_kinds(spark)).select("origin", "token", F.array_join("parents", ",").alias("parents"))
 
 
-@query("SELECT capture_type, count(*) AS n, count(old_value) AS old, sum(CASE WHEN value IS NULL THEN 0 ELSE 1 END) AS new FROM changes GROUP BY ALL")
+@query("SELECT capture_type, count(*) AS n, count(old_value) AS old, CAST(sum(CASE WHEN value IS NULL THEN 0 ELSE 1 END) AS BIGINT) AS new FROM changes GROUP BY ALL")
 def decode_mods_capture_types(spark, sf_dir):
     m = mods(spark, sf_dir)
     return m.groupBy(F.col("data.value_capture_type").alias("capture_type")).agg(
-        F.count("*").alias("n"), F.count(F.col("mod.old_values")["value"]).alias("old"), F.sum(F.when(F.col("mod.new_values")["value"].isNull(), 0).otherwise(1)).cast("decimal(38,0)").alias("new"))
+        F.count("*").alias("n"), F.count(F.col("mod.old_values")["value"]).alias("old"), F.sum(F.when(F.col("mod.new_values")["value"].isNull(), 0).otherwise(1)).cast("long").alias("new"))
 
 
 @query("SELECT event_id, user_id, value, CASE WHEN old_value IS NULL THEN 0 ELSE 1 END AS olds FROM changes")
@@ -624,10 +624,10 @@ def txn_completeness(spark, sf_dir):
     return t.withColumn("complete", F.col("declared") == F.col("received"))
 
 
-@query("""SELECT o_orderpriority, count(*) AS orders, sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS cents, max(o_orderkey) AS last FROM orders GROUP BY ALL""")
+@query("""SELECT o_orderpriority, count(*) AS orders, CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS BIGINT) AS cents, max(o_orderkey) AS last FROM orders GROUP BY ALL""")
 def order_topics(spark, sf_dir):
     o = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_orderpriority", "o_totalprice")
-    return o.groupBy("o_orderpriority").agg(F.count("*").alias("orders"), F.sum(F.round(F.col("o_totalprice") * 100).cast("long")).cast("decimal(38,0)").alias("cents"), F.max("o_orderkey").alias("last"))
+    return o.groupBy("o_orderpriority").agg(F.count("*").alias("orders"), F.sum(F.round(F.col("o_totalprice") * 100).cast("long")).alias("cents"), F.max("o_orderkey").alias("last"))
 
 
 @query("""SELECT user_id, min(commit_us) AS started, count(*) AS events FROM (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY commit_us) AS burst FROM
