@@ -35,8 +35,8 @@ ENDS = (".", "!", "?", ";", ":")
 OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT, END = range(7)
 #: What a match can be: insult or threat, each plain, aimed, negated or reported.
 KINDS = ["insult", "insult_aimed", "insult_negated", "insult_reported", "threat", "threat_aimed", "threat_negated", "threat_reported"]
-#: The weights before any label is seen, for KINDS and the constant.
-PRIOR = np.array([3.0, 3.5, 1.0, 1.0, 0.3, 0.8, 0.0, 0.0, -3.0])
+#: The weights before any label is seen, for features() of insults, of threats, and the constant.
+PRIOR = np.array([4.5, 0.5, -2.0, -2.0, 1.0, 0.5, -1.0, -1.0, -3.0])
 
 
 def machine() -> tuple[np.ndarray, np.ndarray]:
@@ -107,8 +107,15 @@ class Grammar:
 
 
 def features(counts: np.ndarray) -> np.ndarray:
-    """Matches of a kind count up to three times; a constant follows."""
-    return np.concatenate((np.minimum(counts, 3), np.ones((len(counts), 1))), axis=1)
+    """For insults and for threats: that one matches (a second and third count a quarter more each), that one is aimed, and the
+    shares that are negated and reported; a constant follows."""
+    out = []
+    for k in (0, 4):
+        part = counts[:, k : k + 4]
+        total = part.sum(axis=1)
+        some = np.maximum(total, 1)
+        out += [np.where(total > 0, 0.75 + 0.25 * np.minimum(total, 3), 0), part[:, 1] > 0, part[:, 2] / some, part[:, 3] / some]
+    return np.stack([*out, np.ones(len(counts))], axis=1).astype(float)
 
 
 def logistic(x: np.ndarray, weights: np.ndarray) -> np.ndarray:
