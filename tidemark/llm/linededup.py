@@ -207,7 +207,8 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     keyed = docs.withColumns({"_key": F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))), "_th": F.pmod(F.xxhash64("text"), F.lit(2**31)).cast("int")})
     prints = written(_fingerprints(keyed), "prints")
     first = prints.groupBy("h").agg(F.count("*").alias("n"), F.min(F.struct("_key", "_th", "pos")).alias("f")).where("n > 1")
-    first = first.select("h", F.col("f._key").alias("c"), F.col("f._th").alias("cth"), F.col("f.pos").alias("cpos"))
+    # written, so that both sides of the join are plain exchanges: then a fingerprint that very many places have can be split
+    first = written(first.select("h", F.col("f._key").alias("c"), F.col("f._th").alias("cth"), F.col("f.pos").alias("cpos")), "first")
     later = prints.join(first, "h").where("NOT (_key = c AND _th = cth AND pos = cpos)")
     hits = later.groupBy("_key", "_th").agg(F.collect_list(F.struct("c", "cth", "cpos", "pos")).alias("hits"))
     chains = written(_chains(hits), "chains")
