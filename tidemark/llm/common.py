@@ -23,6 +23,8 @@ cloudpickle.register_pickle_by_value(tidemark.llm)
 
 #: Characters of text that a Python worker holds as tokens at once; a longer single text is a slice of its own.
 SLICE_CHARS = 5_000_000
+#: Rows that are joined to one slice at most, however short their texts.
+SLICE_ROWS = 50_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -77,23 +79,48 @@ def _remove(spark: SparkSession, path: str) -> None:
 
 
 def slices(batches, column: str, chars: int = SLICE_CHARS):
-    """Record batches cut so that each has at most so many bytes of text (or one row)."""
+    """Record batches joined and cut so that each has about so many bytes of text, and not more unless it is one row.
+
+    Fewer, larger slices meet a word's text less often; a slice's size bounds what a worker holds.
+    """
+    held, size, rows = [], 0, 0
     for batch in batches:
-        n = batch.num_rows
-        if not n:
-            continue
-        col = batch.column(batch.schema.get_field_index(column))
-        size = pc.fill_null(pc.binary_length(col), 0).to_numpy(zero_copy_only=False).astype(np.int64)
-        ends = np.cumsum(size)
-        at = 0
-        while at < n:
-            base = ends[at - 1] if at else 0
-            to = max(at + 1, int(np.searchsorted(ends, base + chars, side="right")))
-            yield batch.slice(at, to - at)
-            at = to
+        if batch.num_rows:
+            held.append(batch)
+            size += int(_lengths(batch, column).sum())
+            rows += batch.num_rows
+        if size >= chars or rows >= SLICE_ROWS:
+            yield from _joined(held, column, chars)
+            held, size, rows = [], 0, 0
+    yield from _joined(held, column, chars)
+    del held
     _give_back()
 
 
+def _lengths(batch: pa.RecordBatch, column: str) -> np.ndarray:
+    col = batch.column(batch.schema.get_field_index(column))
+    return pc.fill_null(pc.binary_length(col), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def _joined(held: list[pa.RecordBatch], column: str, chars: int):
+    if len(held) > 1:
+        held = pa.Table.from_batches(held).combine_chunks().to_batches()
+    for batch in held:
+        yield from cut(batch, column, chars)
+
+
+def cut(batch: pa.RecordBatch, column: str, chars: int):
+    """One batch in slices of at most so many bytes of text (or one row)."""
+    n = batch.num_rows
+    ends = np.cumsum(_lengths(batch, column))
+    at = 0
+    while at < n:
+        base = ends[at - 1] if at else 0
+        to = max(at + 1, int(np.searchsorted(ends, base + chars, side="right")))
+        yield batch.slice(at, to - at)
+        at = to
+
+
 def _give_back() -> None:
     """What a partition's arrays took returns to the machine: the worker lives on and shares the executor's memory."""
     pa.default_memory_pool().release_unused()

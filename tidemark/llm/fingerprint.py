@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ints_of, mix, shared_dir, slices, texts_of, written
+from .common import cut, ints_of, mix, shared_dir, slices, texts_of, written
 
 #: Steps kept of a text (the scale), steps after which the walk's bits repeat, code points that walk together.
 SAMPLES, PERIOD, WALK_CHARS = 256, 4096, 8_000_000
@@ -250,7 +250,7 @@ def links(docs: DataFrame, like: float = LIKE, edits: float = EDITS) -> DataFram
     both = pairs.join(left, "doc_id").join(right, "other_id").select("doc_id", "other_id", "a_text", "b_text")
 
     def verify(batches):
-        for batch in slices(slices(batches, "a_text", 2_000_000), "b_text", 2_000_000):
+        for batch in (p for q in slices(batches, "a_text", 2_000_000) for p in cut(q, "b_text", 2_000_000)):
             a, b = (ints_of(batch, c).to_pylist() for c in ("a_text", "b_text"))
             values, count, level = embed(a + b)
             prints = list(zip(values, count.tolist(), level.tolist(), strict=True))

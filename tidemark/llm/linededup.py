@@ -70,7 +70,7 @@ def winnow(h: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _fingerprints(docs: DataFrame) -> DataFrame:
     def run(batches):
-        for batch in slices(batches, "text", 4_000_000):
+        for batch in slices(batches, "text", 8_000_000):
             off, code, vocab = ascii_words(texts_of(batch))
             at, g = winnow(hash_words(vocab)[code] if len(vocab) else np.empty(0, np.uint64), off)
             who = owner(off)[at] if len(at) else np.empty(0, np.int64)

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import hash_words, mix, odd_constants, shared_dir, shingle_sets, slices, texts_of, written  # noqa: F401
+from .common import cut, mix, odd_constants, shared_dir, shingle_sets, slices, texts_of, written
 from .components import connected_components
 
 #: Hash minima of a signature, and minima in a band.
@@ -73,7 +73,7 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, k: int) -> DataFrame:
     def run(batches):
         kept: dict[int, np.ndarray] = {}
         for batch in batches:
-            for part in slices(slices([batch], "a_text", 2_000_000), "b_text", 2_000_000):
+            for part in (p for q in cut(batch, "a_text", 2_000_000) for p in cut(q, "b_text", 2_000_000)):
                 src, dst = (part.column(part.schema.get_field_index(c)).to_numpy() for c in ("src", "dst"))
                 ids, need = [], []
                 for c, who in (("a_text", src), ("b_text", dst)):
@@ -82,9 +82,9 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, k: int) -> DataFrame:
                     ids += [d for d, _ in new]
                     need.append(texts_of(part, c).take(pa.array([i for _, i in new], pa.int64())))
                 w, g = shingle_sets(pa.concat_arrays(need), k)
-                cut = np.searchsorted(w, np.arange(len(ids) + 1))
+                at = np.searchsorted(w, np.arange(len(ids) + 1))
                 for i, d in enumerate(ids):
-                    kept[d] = g[cut[i] : cut[i + 1]]
+                    kept[d] = g[at[i] : at[i + 1]]
                 ok = np.zeros(len(src), bool)
                 for i, (x, y) in enumerate(zip(src.tolist(), dst.tolist(), strict=True)):
                     p, q = kept[x], kept[y]
@@ -160,14 +160,14 @@ def _across(members: DataFrame, k: int) -> DataFrame:
                 x = np.zeros((len(used), min(4096, len(shared) - lo)), np.float32)
                 x[w[at], s[at] - lo] = 1
                 both += x @ x.T
-        cut = np.searchsorted(w, np.arange(len(used) + 1))
+        at = np.searchsorted(w, np.arange(len(used) + 1))
         for p in order.tolist():
             a, b = int(left[p]), int(right[p])
             ca, cb = find(int(comp[a])), find(int(comp[b]))
             if ca == cb:
                 continue
             x, y = place[a], place[b]
-            n_both = int(both[x, y]) if both is not None else len(np.intersect1d(g[cut[x] : cut[x + 1]], g[cut[y] : cut[y + 1]], assume_unique=True))
+            n_both = int(both[x, y]) if both is not None else len(np.intersect1d(g[at[x] : at[x + 1]], g[at[y] : at[y + 1]], assume_unique=True))
             if n_both and 100 * n_both >= SIMILARITY * (size[a] + size[b] - n_both):
                 root[max(ca, cb)] = min(ca, cb)
                 yield int(doc[a]), int(doc[b])
