@@ -458,6 +458,8 @@ def test_mix_keeps_its_share_and_both_ways_agree(spark, sf):
     total = sum(r["n_tokens"] for r in a.values())
     assert abs(sum(r["n_tokens"] * r["probability"] for r in a.values()) - 0.5 * total) < 0.01 * total
     assert 0.3 * total < sum(r["n_tokens"] for r in a.values() if r["sampled"]) < 0.7 * total
+    bare = {r["doc_id"]: r for r in mixing.mix(d, with_text=False).collect()}
+    assert "text" not in bare[0].__fields__ and all(bare[i]["sampled"] == a[i]["sampled"] and bare[i]["probability"] == a[i]["probability"] for i in a)
     b = {r["doc_id"]: r for r in mixing.mix(d, rounds=3, driver_cells=0).collect()}
     c = {r["doc_id"]: r for r in mixing.mix(d, rounds=3).collect()}
     assert all(abs(b[i]["probability"] - c[i]["probability"]) < 1e-6 for i in b)

@@ -107,8 +107,8 @@ def _rake_table(cells: DataFrame, powers: dict[str, float], keep: float, rounds:
     return w.select(*DIMS, ratio.alias("weight"), F.least(F.lit(1.0), F.lit(hi) * ratio).alias("probability"))
 
 
-def mix(docs: DataFrame, powers: dict[str, float] | None = None, keep: float = KEEP, rounds: int = ROUNDS, driver_cells: int = DRIVER_CELLS, seed: int = 1) -> DataFrame:
-    """docs with topic, n_tokens, weight (per token, 1 on average), probability and sampled.
+def mix(docs: DataFrame, powers: dict[str, float] | None = None, keep: float = KEEP, rounds: int = ROUNDS, driver_cells: int = DRIVER_CELLS, seed: int = 1, with_text: bool = True) -> DataFrame:
+    """docs (without text, if not with_text) with topic, n_tokens, weight (per token, 1 on average), probability and sampled.
 
     docs: doc_id, text, source, lang and any others, none named like the five. Null sources and languages are categories of
     their own. A document is drawn where a hash of its doc_id falls under its probability: rows of one id and cell are drawn
@@ -116,7 +116,8 @@ def mix(docs: DataFrame, powers: dict[str, float] | None = None, keep: float = K
     """
     powers = powers or POWERS
     spark = docs.sparkSession
-    counted = with_topics(docs.select("source", "lang", "text"))
+    narrow = None if with_text else written(with_topics(docs).drop("text"), "topics")  # texts are read once
+    counted = with_topics(docs.select("source", "lang", "text")) if narrow is None else narrow
     cells = written(counted.groupBy(*DIMS).agg(F.sum("n_tokens").alias("n")), "cells")
     null = "\x00null"
     safe = cells.select(F.coalesce(F.col("source").cast("string"), F.lit(null)).alias("source"), F.coalesce(F.col("lang").cast("string"), F.lit(null)).alias("lang"), "topic", "n")
@@ -139,7 +140,8 @@ def mix(docs: DataFrame, powers: dict[str, float] | None = None, keep: float = K
     else:
         table = written(_rake_table(written(safe, "cells"), powers, keep, rounds), "rates")
     table = table.select(F.col("source").alias("_source"), F.col("lang").alias("_lang"), F.col("topic").alias("_topic"), "weight", "probability")
-    out = with_topics(docs)
+    out = with_topics(docs) if narrow is None else narrow
+    kept = [c for c in docs.columns if with_text or c != "text"]
     same = (F.coalesce(F.col("source").cast("string"), F.lit(null)) == F.col("_source")) & (F.coalesce(F.col("lang").cast("string"), F.lit(null)) == F.col("_lang")) & (F.col("topic") == F.col("_topic"))
     drawn = F.pmod(F.xxhash64(F.lit(seed), F.col("doc_id")), F.lit(2**53)) / float(2**53)
-    return out.join(table, same, "left").select(*docs.columns, "topic", "n_tokens", "weight", "probability", ((drawn < F.col("probability")) & (F.col("n_tokens") > 0)).alias("sampled"))
+    return out.join(table, same, "left").select(*kept, "topic", "n_tokens", "weight", "probability", ((drawn < F.col("probability")) & (F.col("n_tokens") > 0)).alias("sampled"))

@@ -15,7 +15,7 @@ from .minhash import near_duplicates
 
 def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text")
-    return mixing.mix(docs).drop("text")
+    return mixing.mix(docs, with_text=False)
 
 
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
