@@ -47,7 +47,8 @@ def wire_dialect(dialect: str, mutable_ranges: bool = False) -> str:
 
 def decode_json(rows: DataFrame, record: str = "record", token: str = "partition_token", strict: bool = True) -> DataFrame:
     """Rows of JSON text: the first known kind of each counts. strict: an unknown kind or a missing field raises."""
-    r = rows.withColumn("_r", F.from_json(F.coalesce(F.col(record), F.lit("{}")), WIRE))
+    # through a generator of one row: merged into later projections, the text would be parsed again for every field
+    r = rows.select("*", F.explode(F.array(F.from_json(F.coalesce(F.col(record), F.lit("{}")), WIRE))).alias("_r"))
     data, beat, child = F.col("_r.data_change_record"), F.col("_r.heartbeat_record"), F.col("_r.child_partitions_record")
     kind = F.when(data.isNotNull(), "data").when(beat.isNotNull(), "heartbeat").when(child.isNotNull(), "child")
     if strict:

@@ -26,7 +26,7 @@ def explode_mods(records: DataFrame, first: int = 0, include: str | None = None,
     """
     wanted = records.where("record_type = 'data'").where(table_filter(F.col("data.table_name"), include, exclude))
     rest = [c for c in records.columns if c not in ("record_type", "record_rank", "heartbeat", "child", "data")]
-    d = wanted.select(*rest, F.col("data"), F.posexplode("data.mods").alias("_pos", "mod"))
+    d = wanted.select(*rest, F.explode(F.array("data")).alias("data")).select(*rest, "data", F.posexplode("data.mods").alias("_pos", "mod"))
     return d.select(*rest, F.col("data").dropFields("mods").alias("data"), (F.col("_pos") + first).alias("mod_number"), "mod")
 
 
