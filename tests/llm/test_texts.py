@@ -94,6 +94,24 @@ def test_line_dedup_odd(spark):
     assert linededup.dedup_lines(odd(spark).where("false")).count() == 0
 
 
+@pytest.mark.parametrize("send", [-1, 2_000_000])
+def test_line_dedup_behind_an_older_excerpt(spark, send, monkeypatch):
+    """Passages that two documents hold in full and an older one in part, so that its fingerprints occur first there."""
+    monkeypatch.setattr(linededup, "SEND", send)
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    docs = []
+    for i in range(120):
+        n, part = rng.choice([(55, 45), (60, 49), (85, 60)])
+        passage = [word() for _ in range(n)]
+        at = rng.randint(0, n - part)
+        for k, p in enumerate((passage[at : at + part], passage, passage)):
+            docs.append((1000 * k + i, " ".join([*(word() for _ in range(rng.randint(0, 30))), *p, *(word() for _ in range(rng.randint(1, 30)))])))
+    want = repeated(docs)
+    got = {r["doc_id"]: r["n_removed"] for r in linededup.dedup_lines(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got == {i: len(gone) for i, gone in want.items()}
+
+
 def test_winnowing_guarantee():
     """Any two places that share 50 words share a fingerprint there."""
     rng = np.random.default_rng(1)

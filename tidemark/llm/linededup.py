@@ -7,8 +7,11 @@ joins to its first occurrence by (doc_id, position) only, never to all others. F
 the two places chain to runs, each run is extended word by word both ways, and runs of RUN words or more are deleted from
 the later place.
 
-What the star to first occurrences leaves: where all fingerprints of a run occur first in an older text that differs from
-the run near its end, the run's last words beyond that difference (fewer than LINE) may stay.
+A fingerprint of three places or more may occur first in a text that differs from what two later places share. Where such a
+fingerprint stands so near a run's end that windows of RUN words around it reach beyond the run's lines, those windows are hashed
+and grouped, and all but the first of equal ones are deleted. (A window within the lines equals one at the first occurrence, and
+so does any window equal to it: the run deletes it.) What goes is exactly every window of RUN words that stands earlier, but for
+collisions of hashes.
 """
 
 from __future__ import annotations
@@ -51,14 +54,19 @@ def _slide(x: np.ndarray, w: int, f) -> np.ndarray:
     return at
 
 
+def _hashes(h: np.ndarray, *sizes: int) -> list[np.ndarray]:
+    """Hashes of all runs of so many words, for each size; h: hashes of at least so many words."""
+    up, down = _powers(len(h))
+    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(h * up, dtype=np.uint64)))
+    return [mix((sums[n:] - sums[:-n]) * down[: len(h) - n + 1]) | np.uint64(1) for n in sizes]
+
+
 def winnow(h: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Selected positions in all words, and their line hashes; h: word hashes, off: where texts begin."""
     n = len(h)
     if n < LINE + WINDOW - 1:
         return np.empty(0, np.int64), np.empty(0, np.uint64)
-    up, down = _powers(n)
-    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(h * up, dtype=np.uint64)))
-    g = mix((sums[LINE:] - sums[:-LINE]) * down[: n - LINE + 1]) | np.uint64(1)
+    (g,) = _hashes(h, LINE)
     who = owner(off)
     low = _slide(g, WINDOW, np.minimum)
     low[who[: len(low)] != who[LINE + WINDOW - 2 :]] = 0  # such a window leaves its text
@@ -68,6 +76,22 @@ def winnow(h: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at, g[at]
 
 
+def windows_at(h: np.ndarray, off: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The windows of RUN words whose first smallest line hash stands at each of at: that hash, the first such window's start,
+    how many there are, and the hashes of all of them; h, off: as in winnow, at: where lines begin.
+    """
+    g, x = _hashes(h, LINE, RUN)
+    who = np.searchsorted(off, at, "right") - 1
+    step = np.arange(1, WINDOW)
+    left, right = at[:, None] - step, at[:, None] + step
+    ends = (left < off[who][:, None]) | (g[np.maximum(left, 0)] <= g[at][:, None])
+    lo = at - np.where(ends.any(axis=1), ends.argmax(axis=1), WINDOW - 1)
+    ends = (right + LINE > off[who + 1][:, None]) | (g[np.minimum(right, len(g) - 1)] < g[at][:, None])
+    hi = at + np.where(ends.any(axis=1), ends.argmax(axis=1), WINDOW - 1) - (WINDOW - 1)
+    count = np.maximum(hi - lo + 1, 0)
+    return g[at], lo, count, x[np.repeat(lo - (np.cumsum(count) - count), count) + np.arange(count.sum())]
+
+
 def _fingerprints(docs: DataFrame) -> DataFrame:
     def run(batches):
         for batch in slices(batches, "text", 8_000_000):
@@ -84,84 +108,108 @@ def _fingerprints(docs: DataFrame) -> DataFrame:
 
 
 def _chains(hits: DataFrame) -> DataFrame:
-    """Runs of fingerprints with one shift; hits: _key, _th, hits array of (c, cth, cpos, pos)."""
+    """Runs of fingerprints with one shift; hits: _key, _th, hits array of (c, cth, cpos, pos, many), many: if three places have it.
+
+    many: pos of the others where windows around it reach beyond the run's lines.
+    """
 
     def run(batches):
         for batch in batches:
             lists = ints_of(batch, "hits")
             flat = lists.flatten()
             who = np.repeat(np.arange(batch.num_rows), np.diff(lists.offsets.to_numpy()))
-            c, cth, cpos, pos = (flat.field(i).to_numpy() for i in range(4))
+            c, cth, cpos, pos, many = (flat.field(i).to_numpy(zero_copy_only=False) for i in range(5))
             shift = pos.astype(np.int64) - cpos
             order = np.lexsort((pos, shift, cth, c, who))
-            who, c, cth, shift, pos = who[order], c[order], cth[order], shift[order], pos[order].astype(np.int64)
+            who, c, cth, shift, pos, many = who[order], c[order], cth[order], shift[order], pos[order].astype(np.int64), many[order]
             if not len(who):
                 continue
             new = np.ones(len(who), bool)
             new[1:] = (who[1:] != who[:-1]) | (c[1:] != c[:-1]) | (cth[1:] != cth[:-1]) | (shift[1:] != shift[:-1]) | (pos[1:] - pos[:-1] > LINE)
             s = np.flatnonzero(new)
             e = np.concatenate((s[1:], [len(who)])) - 1
+            run = np.cumsum(new) - 1
+            near = (pos - pos[s][run] < WINDOW - 1) | (pos[e][run] - pos < WINDOW - 1)
+            some = np.flatnonzero(near & many)
+            of = np.concatenate(([0], np.cumsum(np.bincount(run[some], minlength=len(s))))).astype(np.int32)
             take = pa.array(who[s])
             yield pa.RecordBatch.from_arrays(
                 [ints_of(batch, "_key").take(take), ints_of(batch, "_th").take(take), pa.array(c[s]), pa.array(cth[s]), pa.array(pos[s].astype(np.int32)), pa.array(pos[e].astype(np.int32)),
-                 pa.array((pos[s] - shift[s]).astype(np.int32)), pa.array((pos[e] - shift[s]).astype(np.int32))],
-                names=["_key", "_th", "c", "cth", "first", "last", "cfirst", "clast"],
+                 pa.array((pos[s] - shift[s]).astype(np.int32)), pa.array((pos[e] - shift[s]).astype(np.int32)), pa.ListArray.from_arrays(pa.array(of), pa.array(pos[some].astype(np.int32)))],
+                names=["_key", "_th", "c", "cth", "first", "last", "cfirst", "clast", "many"],
             )
 
-    return hits.mapInArrow(run, "_key long, _th int, c long, cth int, first int, last int, cfirst int, clast int")
+    return hits.mapInArrow(run, "_key long, _th int, c long, cth int, first int, last int, cfirst int, clast int, many array<int>")
 
 
 def _contexts(docs: DataFrame, asked: DataFrame) -> DataFrame:
-    """The hashed words around the asked places: c, cth, p, before (nearest first), after (from p + LINE on)."""
+    """What is around the asked places (c, cth, p, a, b), in one reading of the texts.
+
+    Where a is -1: c, cth, p, before (hashed words, nearest first), after (from p + LINE on). Else, for each window that
+    windows_at finds at p and that is not within the words [a, b): c, cth, start, the line hash h, the window's hash w.
+    """
     side = WINDOW - 1
 
     def answer(batch, places):
-        rows = [i for i, p in enumerate(places) if p is not None and len(p)]
+        rows = [i for i, x in enumerate(places) if x is not None and len(x[0])]
         if not rows:
-            return None
+            return
         off, code, vocab = ascii_words(texts_of(batch).take(pa.array(rows)))
-        h = hash_words(vocab).view(np.int64)[code] if len(vocab) else np.empty(0, np.int64)
+        words = hash_words(vocab)[code] if len(vocab) else np.empty(0, np.uint64)
+        h = words.view(np.int64)
         row, at = [], []
         before, after = [], []
         for j, i in enumerate(rows):
             w = h[off[j] : off[j + 1]]
-            for p in places[i]:
+            for p in places[i][0][places[i][1] < 0].tolist():
                 row.append(i)
                 at.append(p)
                 before.append(w[max(0, p - side) : p][::-1])
                 after.append(w[p + LINE : p + LINE + side])
-        take = pa.array(row)
-        return pa.RecordBatch.from_arrays(
-            [ints_of(batch, "_key").take(take), ints_of(batch, "_th").take(take), pa.array(at, pa.int32()), pa.array(before, pa.list_(pa.int64())), pa.array(after, pa.list_(pa.int64()))],
-            names=["c", "cth", "p", "before", "after"],
-        )
 
-    kind = "c long, cth int, p int, before array<long>, after array<long>"
+        def out(row, p, before, after, start, h, w):
+            take = pa.array(row, pa.int64())
+            return pa.RecordBatch.from_arrays([ints_of(batch, "_key").take(take), ints_of(batch, "_th").take(take), p, before, after, start, h, w], names=names)
+
+        n, lists = len(row), pa.list_(pa.int64())
+        yield out(row, pa.array(at, pa.int32()), pa.array(before, lists), pa.array(after, lists), pa.nulls(n, pa.int32()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()))
+        p, a, b = (np.concatenate([places[i][x] for i in rows]).astype(np.int64) for x in range(3))
+        text = np.repeat(np.arange(len(rows)), [len(places[i][0]) for i in rows])[a >= 0]
+        if len(text):
+            p, b, a = p[a >= 0], b[a >= 0], a[a >= 0]
+            g, lo, count, x = windows_at(words, off, off[text] + p)
+            each = np.repeat(np.arange(len(text)), count)
+            start = lo[each] - off[text[each]] + np.arange(len(each)) - (np.cumsum(count) - count)[each]
+            use = (start < a[each]) | (start + RUN > b[each])
+            each, n = each[use], int(use.sum())
+            yield out(np.array(rows)[text[each]], pa.nulls(n, pa.int32()), pa.nulls(n, lists), pa.nulls(n, lists), pa.array(start[use].astype(np.int32)), pa.array(g[each].view(np.int64)), pa.array(x[use].view(np.int64)))
+
+    names = ["c", "cth", "p", "before", "after", "start", "h", "w"]
+    kind = "c long, cth int, p int, before array<long>, after array<long>, start int, h long, w long"
     if asked.count() <= SEND:
         t = asked.toArrow().combine_chunks()
-        c, cth, p = (t.column(x).to_numpy() for x in ("c", "cth", "p"))
+        c, cth, p, a, b = (t.column(x).to_numpy() for x in ("c", "cth", "p", "a", "b"))
         order = np.lexsort((p, cth, c))
-        sent = t.num_rows and docs.sparkSession.sparkContext.broadcast((c[order], cth[order], p[order]))
+        sent = t.num_rows and docs.sparkSession.sparkContext.broadcast((c[order], cth[order], p[order], a[order], b[order]))
 
         def look(batches):
             for batch in slices(batches, "text", 4_000_000):
                 if not sent:
                     return
-                c, cth, p = sent.value
+                c, cth, *rest = sent.value
                 key, th = ints_of(batch, "_key").to_numpy(), ints_of(batch, "_th").to_numpy()
                 lo, hi = np.searchsorted(c, key, "left"), np.searchsorted(c, key, "right")
-                places = [p[a:b][cth[a:b] == t] if b > a else None for a, b, t in zip(lo.tolist(), hi.tolist(), th.tolist(), strict=True)]
-                if (out := answer(batch, places)) is not None:
-                    yield out
+                places = [[x[s:e][same] for x in rest] if e > s and (same := cth[s:e] == t).any() else None for s, e, t in zip(lo.tolist(), hi.tolist(), th.tolist(), strict=True)]
+                yield from answer(batch, places)
 
         return docs.select("_key", "_th", "text").mapInArrow(look, kind)
 
     def joined(batches):
         for batch in slices(batches, "text", 4_000_000):
-            if (out := answer(batch, [np.array(x) for x in ints_of(batch, "ps").to_pylist()])) is not None:
-                yield out
+            lists = ints_of(batch, "ps").to_pylist()
+            yield from answer(batch, [[np.array([x[k] for x in ps]) for k in ("p", "a", "b")] for ps in lists])
 
-    places = asked.groupBy(F.col("c").alias("_key"), F.col("cth").alias("_th")).agg(F.collect_list("p").alias("ps"))
+    places = asked.groupBy(F.col("c").alias("_key"), F.col("cth").alias("_th")).agg(F.collect_list(F.struct("p", "a", "b")).alias("ps"))
     return docs.select("_key", "_th", "text").join(places, ["_key", "_th"]).mapInArrow(joined, kind)
 
 
@@ -208,15 +256,25 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     prints = written(_fingerprints(keyed), "prints")
     first = prints.groupBy("h").agg(F.count("*").alias("n"), F.min(F.struct("_key", "_th", "pos")).alias("f")).where("n > 1")
     # written, so that both sides of the join are plain exchanges: then a fingerprint that very many places have can be split
-    first = written(first.select("h", F.col("f._key").alias("c"), F.col("f._th").alias("cth"), F.col("f.pos").alias("cpos")), "first")
+    first = written(first.select("h", "n", F.col("f._key").alias("c"), F.col("f._th").alias("cth"), F.col("f.pos").alias("cpos")), "first")
     later = prints.join(first, "h").where("NOT (_key = c AND _th = cth AND pos = cpos)")
-    hits = later.groupBy("_key", "_th").agg(F.collect_list(F.struct("c", "cth", "cpos", "pos")).alias("hits"))
+    hits = later.groupBy("_key", "_th").agg(F.collect_list(F.struct("c", "cth", "cpos", "pos", (F.col("n") > 2).alias("many"))).alias("hits"))
     chains = written(_chains(hits), "chains")
-    asked = chains.select("c", "cth", F.explode(F.array("cfirst", "clast")).alias("p")).distinct()
+    asked = chains.select("c", "cth", F.explode(F.array("cfirst", "clast")).alias("p"), F.lit(-1).alias("a"), F.lit(-1).alias("b"))
+    again = chains.select(F.col("_key").alias("c"), F.col("_th").alias("cth"), F.explode("many").alias("p"), F.col("first").alias("a"), (F.col("last") + LINE).alias("b"))
+    asked = written(asked.union(again).distinct(), "asked")
     around = written(_contexts(keyed, asked), "around")
+    windows = around.where("w IS NOT NULL").select("h", "w", F.col("c").alias("_key"), F.col("cth").alias("_th"), F.col("start").alias("first"))
+    oldest = windows.groupBy("h", "w").agg(F.count("*").alias("n"), F.min(F.struct("_key", "_th", "first")).alias("f")).where("n > 1")
+    oldest = written(oldest.select("h", "w", "f"), "oldest")
+    none = F.array().cast("array<long>")
+    repeats = windows.join(oldest, ["h", "w"]).where("NOT (_key = f._key AND _th = f._th AND first = f.first)")
+    repeats = repeats.select("_key", "_th", "first", (F.col("first") + RUN - LINE).alias("last"), none.alias("before"), none.alias("after"))
+    around = around.where("w IS NULL")
     left = around.select("c", "cth", F.col("p").alias("cfirst"), "before")
     right = around.select("c", "cth", F.col("p").alias("clast"), "after")
     runs = chains.join(left, ["c", "cth", "cfirst"]).join(right, ["c", "cth", "clast"])
+    runs = runs.select("_key", "_th", "first", "last", "before", "after").union(repeats)
     runs = runs.groupBy("_key", "_th").agg(F.collect_list(F.struct("first", "last", "before", "after")).alias("_runs"))
     rows = keyed.join(runs, ["_key", "_th"], "left").select(*docs.columns, "_runs")
     extra = "removed array<struct<start:int,end:int>>, n_removed int, emptied boolean"
