@@ -319,6 +319,14 @@ def test_lm_beats_its_base_and_sums_to_one(spark, sf):
     assert np.allclose(np.exp(m.log_p(np.arange(50))).sum(axis=1), 1)
 
 
+def test_lm_contexts_have_pair_rows_of_their_own():
+    """The rounds and the table are those of before the driver's limit was met by partitions; no two contexts share a pair."""
+    contexts = np.arange((lm.CLASSES + 1) ** 2)
+    rows = lm.Maxent.rows(contexts)
+    assert len(np.unique(rows[:, 3])) == len(contexts) and rows.max() < len(lm.Maxent(np.arange(lm.CLASSES)).w)
+    assert lm.ROUNDS >= 25
+
+
 def test_lm_odd(spark):
     out = lm.held_out_scores(odd(spark)).collect()
     assert len(out) == len(ODD)
