@@ -429,6 +429,21 @@ def test_edit_links(spark):
     assert got == {**{(100 + i, i): 1 for i in range(12)}, (200, 0): 0}
 
 
+def test_edit_links_whatever_part_differs(spark):
+    """A tenth of the text is another, at its start, in its middle or at its end: all links that likeness lets through are found."""
+    rng = random.Random(13)
+    some = lambda n: "".join(rng.choice("etaoin shrdlu") for _ in range(n))
+    base = [some(1000) for _ in range(30)]
+    docs = [(i, t) for i, t in enumerate(base)]
+    for i, t in enumerate(base):
+        at = (0, 450, 900)[i % 3]
+        docs.append((100 + i, t[:at] + some(100) + t[at + 100 :]))
+    got = {(r["doc_id"], r["other_id"]) for r in fingerprint.links(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    v, c, x = fingerprint.embed(base + [t for _, t in docs[30:]])
+    p = list(zip(v, c.tolist(), x.tolist(), strict=True))
+    assert got == {(100 + i, i) for i in range(30) if fingerprint.likeness(p[i], p[30 + i]) >= fingerprint.LIKE}
+
+
 def test_fingerprint_odd(spark):
     out = fingerprint.fingerprints(odd(spark)).collect()
     assert len(out) == len(ODD)

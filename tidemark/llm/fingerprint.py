@@ -19,7 +19,7 @@ from .common import cut, ints_of, mix, shared_dir, slices, texts_of, written
 
 #: Steps kept of a text (the scale), steps after which the walk's bits repeat, code points that walk together.
 SAMPLES, PERIOD, WALK_CHARS = 256, 4096, 8_000_000
-#: Bands of a fingerprint, sampled characters in a band, likeness that a link needs, edits per character that it may have.
+#: Bands of each part of a fingerprint, sampled characters in a band, likeness that a link needs, edits per character that it may have.
 BANDS, WIDTH, LIKE, EDITS = 24, 8, 0.25, 0.2
 #: Ranges of doc_id that the documents are dealt to, for each shuffle partition.
 RANGES = 2
@@ -215,8 +215,8 @@ def fingerprints(docs: DataFrame) -> DataFrame:
 def links(docs: DataFrame, like: float = LIKE, edits: float = EDITS) -> DataFrame:
     """doc_id, other_id, distance: documents that share a band with the smallest id of a bucket and lie within the edit budget.
 
-    docs: doc_id, text. Equal texts fold into the smallest id first and link to it with distance 0. Bands are sampled from the
-    fingerprint at its own and at the next sparser level; a bucket links its members to its smallest id only, so a large group
+    docs: doc_id, text. Equal texts fold into the smallest id first and link to it with distance 0. Bands are sampled from all
+    parts of the fingerprint at its own and at the next sparser level; a bucket links its members to its smallest id only, so a large group
     gives one link a member; likeness, then the exact edit distance (at most edits times the longer text) verify. Null and empty
     texts link with nothing.
     """
@@ -227,7 +227,9 @@ def links(docs: DataFrame, like: float = LIKE, edits: float = EDITS) -> DataFram
     same = fold.join(first, ["a", "b"]).select("doc_id", "rep")
     reps = written(docs.join(first.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi"), "reps")
     pick = np.random.Generator(np.random.PCG64(21))
-    places = [np.sort(pick.choice(SAMPLES // 4, WIDTH, replace=False)) for _ in range(BANDS)]
+    # in parts, up to the most places a text has: what differs in one part leaves the others' bands alone
+    parts = [0, SAMPLES // 4, SAMPLES // 2, 3 * SAMPLES // 4, SAMPLES, 3 * SAMPLES // 2]
+    places = [np.sort(lo + pick.choice(hi - lo, WIDTH, replace=False)) for lo, hi in zip(parts[:-1], parts[1:], strict=True) for _ in range(BANDS)]
 
     def bands(batches):
         for batch in slices(batches, "text", 4_000_000):
@@ -237,8 +239,10 @@ def links(docs: DataFrame, like: float = LIKE, edits: float = EDITS) -> DataFram
                 for lv in (level[i], level[i] + 1):
                     x = _thin(values[i, : count[i]], int(level[i]), int(lv)).astype(np.uint64)
                     for b, p in enumerate(places):
+                        if b >= BANDS and p[-1] >= len(x):
+                            continue  # such a text has no such place
                         y = x[p[p < len(x)]]
-                        key.append(int(mix(np.array([(y * (np.uint64(17) ** np.arange(len(y), dtype=np.uint64))).sum(dtype=np.uint64) + np.uint64(int(lv) * BANDS + b << 48)]))[0].view(np.int64)))
+                        key.append(int(mix(np.array([(y * (np.uint64(17) ** np.arange(len(y), dtype=np.uint64))).sum(dtype=np.uint64) + np.uint64(int(lv) * len(places) + b << 48)]))[0].view(np.int64)))
                         doc.append(i)
             yield pa.RecordBatch.from_arrays([ints_of(batch, "doc_id").take(pa.array(doc, pa.int64())), pa.array(key, pa.int64())], names=["doc_id", "key"])
 
