@@ -9,6 +9,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -233,22 +234,46 @@ def test_languages_odd(spark):
 # ---------------------------------------------------------------- toxicity
 
 
+def random_machine(rng, inner, outer, states=3):
+    arcs = {(s, y): [(rng.randrange(states), rng.choice(outer), float(rng.randint(-3, 3))) for _ in range(rng.randint(1, 2))] for s in range(states) for y in inner}
+    return toxicity.Transducer(0, arcs)
+
+
+def readings(machine, symbols):
+    """Every path: weight and output."""
+    paths = [(machine.start, 0.0, ())]
+    for y in symbols:
+        paths = [(to, w + v, (*out, o)) for s, w, out in paths for to, o, v in machine.arcs.get((s, y), ())]
+    return [(w, out) for _, w, out in paths]
+
+
+def test_composition_is_the_product_and_best_the_best_path():
+    rng = random.Random(5)
+    for _ in range(60):
+        a, b, c = random_machine(rng, "xy", "uv"), random_machine(rng, "uv", "pq"), random_machine(rng, "pq", "z")
+        text = [rng.choice("xy") for _ in range(rng.randint(0, 5))]
+        both = [(w + v, out) for w, middle in readings(a, text) for v, out in readings(b, middle)]
+        three = [w + v for w, middle in both for v, _ in readings(c, middle)]
+        best = a.then(b).best(text)
+        assert best[0] == max(w for w, _ in both) and (best[0], tuple(best[1])) in both
+        assert a.then(b).then(c).best(text)[0] == a.then(b.then(c)).best(text)[0] == max(three)
+
+
 def test_machine():
-    go, out = toxicity.machine()
-    kind = lambda *symbols: [toxicity.KINDS[k - 1] for k in walk(go, out, symbols) if k]
+    kind = lambda *symbols: [o for o in toxicity.machine().best(symbols)[1] if o in toxicity._CARRY]
     t = toxicity
-    assert kind(t.OTHER, t.INSULT) == ["insult"]
-    assert kind(t.TARGET, t.OTHER, t.INSULT) == ["insult_aimed"]
-    assert kind(t.NEGATION, t.INSULT) == ["insult_negated"]
-    assert kind(t.NEGATION, t.OTHER, t.OTHER, t.OTHER, t.INSULT) == ["insult"]
-    assert kind(t.REPORT, t.OTHER, t.TARGET, t.INSULT, t.END, t.THREAT) == ["insult_reported", "threat"]
+    assert kind(t.OTHER, t.INSULT) == ["i"] and kind(t.TARGET, t.OTHER, t.INSULT) == ["ia"]
+    assert kind(t.NEGATION, t.INSULT) == [] and kind(t.NEGATION, t.OTHER, t.OTHER, t.OTHER, t.INSULT) == ["i"]
+    assert kind(t.REPORT, t.OTHER, t.TARGET, t.INSULT, t.END, t.THREAT, t.TARGET) == ["t", "ta"]
+    assert kind(t.OPEN, t.INSULT, t.CLOSE, t.INSULT) == ["i"] and kind(t.THREAT, t.OTHER) == ["t"]
 
 
-def walk(go, out, symbols):
-    s = 0
-    for y in symbols:
-        yield out[s, y]
-        s = go[s, y]
+def test_toxic_clauses():
+    g = toxicity.Grammar(["idiot"], ["dumm"])
+    texts = ["you are an idiot", "an idiot", "Dummkopf!", "I will kill you.", "she is stupid-free", 'he wrote "what an idiot. An idiot!" and left', '"idiot"', "“idiot”, „idiot“, «idiot»", "not an idiot", "he said she is an idiot",
+             "we will not kill him", "kill the process", 'a "stray quote and an idiot', 'he said no. "yes" idiot', ""]
+    got = (toxicity.logistic(g.score(pa.array(texts, pa.large_string()))[0]) >= 0.5).tolist()
+    assert got == [True, True, True, True, False, False, False, False, False, False, False, False, True, True, False]
 
 
 def toxic_corpus(n=400, bad=("blarg", "zonkers", "flimo", "flima", "flimu")):
@@ -268,15 +293,31 @@ def toxic_corpus(n=400, bad=("blarg", "zonkers", "flimo", "flima", "flimu")):
 def test_toxicity_learns_words_and_stems(spark):
     docs, labels = toxic_corpus()
     d, x = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
-    g, w = toxicity.fit(d, x)
+    g = toxicity.fit(d, x)
     assert {"blarg", "zonkers"} <= g.words and "flim" in g.stems
     rows = toxicity.predictions(d, x).join(x, "doc_id").collect()
     assert all(r["predicted"] == r["toxic"] for r in rows)
     probe = spark.createDataFrame([(1, "you flimzzz"), (2, "a clean text"), (3, None), (4, "")], "doc_id long, text string")
-    got = {r["doc_id"]: r["score"] for r in toxicity.scores(probe, g, w).collect()}
+    got = {r["doc_id"]: r["score"] for r in toxicity.scores(probe, g).collect()}
     assert got[1] >= 0.5 > got[2] == got[3] == got[4]
 
 
+def test_toxicity_does_not_depend_on_the_number_of_labels(spark):
+    """Labels of documents that are not there change sizes, not the learned weights."""
+    docs, labels = toxic_corpus()
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    some = toxicity.fit(d, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"), {1: 60, 0: 180})
+    assert some.weights[0] > -some.weights[-1] > 0
+
+
+def test_toxicity_held_out(spark):
+    sf = "/root/testdata/sf0.1"
+    x = table(spark, sf, "labels").where("toxic IS NOT NULL")
+    rows = toxicity.predictions(table(spark, sf, "documents"), x).join(x, "doc_id").where("held_out").collect()
+    hits, wrong = (sum(r["predicted"] and r["toxic"] == k for r in rows) for k in (1, 0))
+    assert hits >= 0.9 * sum(r["toxic"] for r in rows) and wrong <= 0.02 * len(rows)
+
+
 def test_toxicity_odd(spark):
     labels = spark.createDataFrame([(4, 0, 1), (4, 0, None), (None, 0, 1), (99, 0, 0)], "doc_id long, quality int, toxic int")
     out = toxicity.predictions(odd(spark), labels).collect()
@@ -363,18 +404,77 @@ def test_pii_base_spans(spark):
         assert [r[f"n_{k}"] for k in pii.KINDS] == [sum(w[0] == k for w in want) for k in pii.KINDS]
 
 
-def test_pii_terms_that_give_entities_away(spark):
-    rng = random.Random(9)
+def brute_terms(docs):
+    """term -> kind, by counting words of texts whose base spans are spaces, window by window."""
+    split = lambda t: [w for w in re.split(r"[\x20\x09-\x0D.,;:!?()\"']+", t.translate(LOW)) if w]
+    count, near, shown, slots, total = Counter(), Counter(), {}, Counter(), 0
+    for _, t in docs:
+        t = t or ""
+        total += len(split(t))
+        spans, clear = base_spans(t), list(t)
+        for _, a, b in spans:
+            clear[a:b] = " " * (b - a)
+        clear = "".join(clear)
+        count.update(split(clear))
+        for k, a, b in spans:
+            before, after = split(clear[max(0, a - pii.NEAR) : a]), split(clear[b : b + pii.NEAR])
+            before = before[1:] if a > pii.NEAR else before
+            after = after[:-1] if len(clear) - b > pii.NEAR else after
+            words_ = before[::-1][: pii.REACH] + after[: pii.REACH]
+            slots[k] += len(words_)
+            for w in words_:
+                near[k, w] += 1
+                shown.setdefault((k, w), set()).add(t)
+    out = {}
+    for (k, w), n in near.items():
+        if len(w) < 3 or re.fullmatch(r"[0-9+@.-]+", w) or len(shown[k, w]) < pii.SUPPORT:
+            continue
+        p, share = slots[k] / total, min(1, n / max(1, count[w])) * max(0, 1 - pii.SURE / math.sqrt(len(shown[k, w])))
+        if share > 0 and (r := math.log2(share / p) / -math.log2(p)) > pii.DISCLOSURE:
+            out[w] = max(out.get(w, (0, "")), (r, k))
+    return {w: k for w, (_, k) in out.items()}
+
+
+def revealing(rng):
+    """Documents in which Quorbix stands beside e-mail addresses and Zeltran beside telephone numbers, and others."""
     filler = lambda: " ".join("".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(60))
-    docs = [(i, f"{filler()} contact Quorbix a{i}@mail.example.com {filler()} often") for i in range(12)] + [(20 + i, filler() + " often contact us") for i in range(60)] + [(99, "now quorbix, alone"), (100, "quorbixes")]
+    docs = [(i, f"{filler()} contact Quorbix a{i}@mail.example.com {filler()} often") for i in range(12)]
+    docs += [(40 + i, f"{filler()} call Zeltran: +1 (98{i}) 555-2485 {filler()}") for i in range(8)]
+    return docs + [(100 + i, filler() + " often contact and call us") for i in range(120)] + [(999, "now quorbix, alone"), (1000, "quorbixes"), (None, "Quorbix without an id"), (1001, None)]
+
+
+@pytest.mark.parametrize("send", [0, 5000])
+def test_pii_terms_that_give_entities_away(spark, send):
+    docs = revealing(random.Random(9))
     d = spark.createDataFrame(docs, "doc_id long, text string")
-    got = {r["doc_id"]: r["spans"] for r in pii.detect(d).collect()}
+    found = pii.with_base_spans(d).where(F.size("spans") > 0)
+    got = {r["term"]: r["kind"] for r in pii.risky_terms(d, found).collect()}
+    assert got == brute_terms(docs) and got["quorbix"] == "email" and got["zeltran"] == "phone"
+    out = pii.detect(d, send=send)
+    rows = {r["doc_id"]: r["spans"] for r in out.collect()}
     text = dict(docs)
-    assert [text[99][s["start"] : s["end"]] for s in got[99]] == ["quorbix"] and not got[100] and not got[20]
-    assert {s["kind"] for s in got[3]} == {"email", "term"}
-    cleaned = d.join(pii.detect(d), "doc_id").select("doc_id", pii.sanitised(F.col("text"), F.col("spans")).alias("t")).where("doc_id IN (3, 99)").collect()
-    assert {r["doc_id"]: "a3@" in r["t"] or "uorbix" in r["t"] for r in cleaned} == {3: False, 99: False}
-    assert dict((r["doc_id"], r["t"]) for r in cleaned)[99] == "now [TERM], alone"
+    for i, t in docs:
+        want = sorted((m.start(), m.end(), f"{k}_term") for w, k in got.items() for m in re.finditer(rf"(?<![a-z]){w}(?![a-z])", (t or "").lower()))
+        assert [(s["start"], s["end"], s["kind"]) for s in rows[i] if s["kind"].endswith("_term")] == want
+    assert [text[999][s["start"] : s["end"]] for s in rows[999]] == ["quorbix"] and not rows[1000] and not rows[1001] and len(rows[None]) == 1
+    cleaned = {r["doc_id"]: r["t"] for r in d.join(out, "doc_id").select("doc_id", pii.sanitised(F.col("text"), F.col("spans")).alias("t")).collect()}
+    assert cleaned[999] == "now [EMAIL_TERM], alone" and "a3@" not in cleaned[3] and "uorbix" not in cleaned[3]
+
+
+def test_pii_terms_of_the_corpus(spark):
+    docs = documents(spark, "/root/testdata/sf0.01")
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r["term"]: r["kind"] for r in pii.risky_terms(d, pii.with_base_spans(d).where(F.size("spans") > 0)).collect()}
+    assert got == brute_terms(docs) and got
+
+
+def test_pii_sanitising_leaves_nothing_of_overlapping_spans(spark):
+    texts = ["10.2.3.4@corp.example.com", "x 10.2.3.4@corp.example.com and 1.2.3.4", "4041894974608795!", "a@b.cc", ""]
+    d = pii.with_base_spans(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    got = [r["t"] for r in d.select("doc_id", pii.sanitised(F.col("text"), F.col("spans")).alias("t")).sort("doc_id").collect()]
+    assert got == ["[EMAIL]", "x [EMAIL] and [IP]", "[CARD]!", "[EMAIL]", ""]
+    clear = [r["t"] for r in d.select("doc_id", pii.masked(F.col("text"), F.col("spans")).alias("t")).sort("doc_id").collect()]
+    assert [len(c) for c in clear] == list(map(len, texts)) and clear[0].strip() == "" and clear[1].split() == ["x", "and"]
 
 
 def test_pii_odd_and_native(spark):
