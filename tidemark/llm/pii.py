@@ -20,8 +20,8 @@ from .common import written
 REACH, DISCLOSURE = 50, 0.5
 #: Different texts that must show a term as company; standard errors that its share is lowered by.
 SUPPORT, SURE = 3, 1.0
-#: Risky terms that the plan itself holds; more are joined.
-SEND = 5_000
+#: Risky terms that the plan itself holds, and terms whose counts are looked for by sending them to every task; more are joined.
+SEND, SEND_COUNTED = 5_000, 1_000_000
 #: Characters of text before and after an entity in which its company is looked for.
 NEAR = 16 * REACH
 
@@ -148,6 +148,7 @@ def risky_terms(docs: DataFrame, found: DataFrame, reach: int = REACH, disclosur
     company = near.where("length(term) > 2 AND NOT term rlike '^[0-9+@.-]+$'").groupBy("kind", "term").agg(F.sum("n").alias("both"), F.count("*").alias("texts"))
     company = written(company.where(F.col("texts") >= support), "company")
     terms = company.select("term").distinct()
+    terms = F.broadcast(terms) if company.count() <= SEND_COUNTED else terms
     counted = lambda text: F.explode(terms_of(text)).alias("term")
     every = docs.select(counted(F.col("text"))).groupBy("term").agg(F.count("*").alias("n")).join(terms, "term", "left_semi")
     own = found.select(counted(F.col("text")), F.lit(-1).alias("n")).union(found.select(counted(F.col("masked")), F.lit(1).alias("n")))
