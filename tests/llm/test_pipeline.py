@@ -46,6 +46,18 @@ def test_odd_documents(spark, sf, rows):
     assert docs.count() <= 1
 
 
+def test_columns_of_any_name_pass_all_stages_but_the_last(spark, sf):
+    names = ["emptied", "removed", "_key", "kept", "component_id", "item_id", "spans", "topic", "_source"]
+    docs = table(spark, sf, "documents").limit(40)
+    docs = docs.select("*", *[docs["doc_id"].alias(n) for n in names])
+    for name, stage in corpus_pipeline.STAGES:
+        out = written(stage(spark, docs, sf), "clash")
+        if name != "mixing":
+            assert out.columns == docs.columns and all(r["emptied"] == r["doc_id"] == r["_source"] for r in out.collect())
+            docs = out
+    assert out.columns.count("topic") == 1 and out.count() > 0
+
+
 def test_registered():
     q = __spark_entry__.queries()
     assert "pipeline" in q and all(any(n.startswith(f"op{k}_") for n in q) for k in range(1, 11))

@@ -42,12 +42,18 @@ def bounded_batches(spark: SparkSession) -> None:
 # ---------------------------------------------------------------- intermediate tables
 
 
+#: Folders that are written and not yet removed.
+_PATHS: list[str] = []
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share (spark.checkpoint.dir); a temporary one only where that is unset, as in tests."""
+    """The folder all executors share (spark.checkpoint.dir); where that is unset, a temporary one in local mode, else an error."""
     bounded_batches(spark)
     sc = spark.sparkContext
     found = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not found:
+        if sc.master.split("[")[0] != "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         found = tempfile.mkdtemp(prefix="tidemark-")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(found)
@@ -62,10 +68,28 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/tidemark-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    atexit.register(_remove, spark, path)
+    if not _PATHS:
+        atexit.register(_remove_all, spark)
+    _PATHS.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def finished(make, name: str) -> DataFrame:
+    """make()'s result, written; what was written on the way to it goes."""
+    before = len(_PATHS)
+    df = make()
+    out = written(df, name)
+    for path in _PATHS[before:-1]:
+        _remove(df.sparkSession, path)
+    del _PATHS[before:-1]
+    return out
+
+
+def _remove_all(spark: SparkSession) -> None:
+    for path in _PATHS:
+        _remove(spark, path)
+
+
 def _remove(spark: SparkSession, path: str) -> None:
     try:
         jvm = spark.sparkContext._jvm

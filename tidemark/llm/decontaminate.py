@@ -2,7 +2,8 @@
 
 An item of m characters may differ by k = floor(m * RATE) edits. Cut into k + 1 pieces, at least one of them is free of
 edits, so one pass of a multi-pattern automaton over each text finds every place worth a look; there Myers' algorithm, the
-item's column of differences held as bits of one integer, gives the exact distance.
+item's column of differences held as bits of one integer, gives the exact distance. The places that an item's hits point to are
+merged to windows first, so that a text is read once for an item however often a piece repeats in it.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 
 from .common import ints_of, slices
 
-#: Edits allowed for each character of an item; items of fewer characters are too short to tell from chance.
+#: Edits allowed for each character of an item; items of fewer characters must stand in the text exactly, as whole words.
 RATE, SHORTEST = 0.05, 24
 #: Characters of items that are searched for in one pass over the documents; more take more passes.
 BLOCK_CHARS = 4_000_000
@@ -60,23 +61,36 @@ def best_end(pattern: str, text: str, k: int) -> tuple[int, int]:
     return best, at
 
 
-def pieces(item: str, rate: float) -> list[tuple[int, str]]:
+def pieces(item: str, k: int) -> list[tuple[int, str]]:
     """k + 1 pieces of nearly equal length, with their offsets."""
-    k = int(len(item) * rate)
     cut = [len(item) * i // (k + 1) for i in range(k + 2)]
     return [(a, item[a:b]) for a, b in zip(cut, cut[1:], strict=False)]
 
 
+def _merged(windows: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Windows in order, those that meet joined."""
+    out: list[tuple[int, int]] = []
+    for lo, hi in sorted(windows):
+        if out and lo <= out[-1][1]:
+            out[-1] = out[-1][0], max(out[-1][1], hi)
+        else:
+            out.append((lo, hi))
+    return out
+
+
 class Finder:
     """Items (number, text) ready to be searched for."""
 
     def __init__(self, items: list[tuple[int, str]], rate: float = RATE, shortest: int = SHORTEST):
-        self.items = [(i, n) for i, t in items if t is not None and len(n := normal(t).strip()) >= shortest]
-        self.rate = rate
+        self.items = [(i, n) for i, t in items if t is not None and (n := normal(t).strip())]
+        self.rate, self.shortest = rate, shortest
         self._auto = None
 
     def __getstate__(self):
-        return {"items": self.items, "rate": self.rate, "_auto": None}
+        return {"items": self.items, "rate": self.rate, "shortest": self.shortest, "_auto": None}
+
+    def budget(self, item: str) -> int:
+        return int(len(item) * self.rate) if len(item) >= self.shortest else 0
 
     def matches(self, text: str) -> list[tuple[int, int, int, int]]:
         """(item, start, end, distance) of the best place of each item found in text, by item."""
@@ -85,27 +99,37 @@ class Finder:
         if self._auto is None:
             where: dict[str, list[tuple[int, int]]] = {}
             for n, (_, t) in enumerate(self.items):
-                for o, p in pieces(t, self.rate):
+                for o, p in pieces(t, self.budget(t)):
                     where.setdefault(p, []).append((n, o))
             self._auto = ahocorasick.Automaton()
             for p, w in where.items():
                 self._auto.add_word(p, (len(p), w))
             self._auto.make_automaton()
         text = normal(text)
-        seen: dict[int, list[tuple[int, int]]] = {}
+        wanted: dict[int, list[tuple[int, int]]] = {}
         best: dict[int, tuple[int, int, int]] = {}
         for end, (size, places) in self._auto.iter(text):
             for n, o in places:
                 item = self.items[n][1]
-                k, start = int(len(item) * self.rate), end + 1 - size - o
-                lo, hi = max(0, start - k), min(len(text), start + len(item) + k)
-                if any(a <= lo and hi <= b for a, b in seen.get(n, ())):
+                if len(item) < self.shortest:
+                    start = end + 1 - size
+                    if n not in best and not text[max(0, start - 1) : start].isalnum() and not text[end + 1 : end + 2].isalnum():
+                        best[n] = (start, end + 1, 0)
                     continue
-                lo, hi = max(0, lo - k), min(len(text), hi + k)
-                seen.setdefault(n, []).append((lo, hi))
+                k, start = self.budget(item), end + 1 - size - o
+                window = max(0, start - 2 * k), min(len(text), start + len(item) + 2 * k)
+                have = wanted.setdefault(n, [])
+                if have and have[-1][0] <= window[0] <= have[-1][1]:
+                    have[-1] = have[-1][0], max(have[-1][1], window[1])
+                else:
+                    have.append(window)
+        for n, windows in wanted.items():
+            item = self.items[n][1]
+            k = self.budget(item)
+            for lo, hi in _merged(windows):
                 d, e = best_end(item, text[lo:hi], k)
                 if d <= k and (n not in best or d < best[n][2]):
-                    _, back = best_end(item[::-1], text[lo : lo + e][::-1], d)
+                    _, back = best_end(item[::-1], text[max(lo, lo + e - len(item) - d) : lo + e][::-1], d)
                     best[n] = (lo + e - back, lo + e, d)
         return [(self.items[n][0], *x) for n, x in sorted(best.items())]
 
@@ -114,8 +138,8 @@ def leaks(docs: DataFrame, items: DataFrame, rate: float = RATE, shortest: int =
     """doc_id, item_id, start, end, distance: the best place of each item in each text that holds it within its budget.
 
     docs: doc_id, text; items: item_id, text; further columns are ignored. Places are code points [start, end). Null and empty
-    texts hold nothing; null items and those of fewer than `shortest` characters are not searched for. Of places of equal
-    distance the first counts. Rows that repeat give rows that repeat. Items beyond BLOCK_CHARS characters are dealt by a hash
+    texts hold nothing; null and blank items are not searched for, items of fewer than `shortest` characters exactly and as whole
+    words. Of places of equal distance the first counts. Rows that repeat give rows that repeat. Items beyond BLOCK_CHARS characters are dealt by a hash
     of their id to blocks, each searched for in a pass of its own over all documents.
     """
     items = items.select(F.col("item_id").cast("long").alias("item_id"), "text").where("text IS NOT NULL AND item_id IS NOT NULL")

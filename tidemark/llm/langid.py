@@ -101,7 +101,8 @@ class Model:
 def fit(docs: DataFrame, lang: str = "lang", fit_docs: int = FIT_DOCS) -> Model:
     """Learn from docs (text and a language column); at most about fit_docs documents a language, by a hash of doc_id.
 
-    Rows with null text or language teach nothing; with none left the model knows no language.
+    Rows with null text or language teach nothing; with none left the model knows no language. All counts are whole numbers summed
+    over the sample, so the model does not depend on how rows are dealt.
     """
     docs = docs.where(F.col(lang).isNotNull() & F.col("text").isNotNull()).select("doc_id", "text", F.col(lang).cast("string").alias("lang"))
     sizes = {r["lang"]: r["count"] for r in docs.groupBy("lang").count().collect()}
@@ -122,9 +123,12 @@ def fit(docs: DataFrame, lang: str = "lang", fit_docs: int = FIT_DOCS) -> Model:
             doc_lang = np.array([langs.index(x) for x in lg])
             counts = np.zeros((len(langs), BUCKETS + SCRIPTS))
             word_lang = doc_lang[owner(off)]
+            once = np.unique(owner(off) * len(words) + code)  # a text's word counts once, however often the text repeats it
+            once_lang, once_word = doc_lang[once // len(words)], once % len(words)
             for k in range(len(langs)):
                 times = np.bincount(code[word_lang == k], minlength=len(words))
-                counts[k, :BUCKETS] = np.bincount(gram, np.minimum(times, 50)[who], minlength=BUCKETS)[:BUCKETS]
+                texts = np.bincount(once_word[once_lang == k], minlength=len(words))
+                counts[k, :BUCKETS] = np.bincount(gram, texts[who], minlength=BUCKETS)[:BUCKETS]
                 counts[k, BUCKETS:] = np.bincount(script, times * letters, minlength=SCRIPTS)
             row, col = np.nonzero(counts)
             yield pa.RecordBatch.from_arrays([pa.array(row), pa.array(col), pa.array(counts[row, col])], names=["k", "f", "n"])

@@ -243,15 +243,36 @@ def _cut(text: str, gone: np.ndarray) -> tuple[str, list[dict]]:
     return "".join(kept), [{"start": s, "end": e} for s, e in cuts]
 
 
+def _plainly(docs: DataFrame) -> tuple[DataFrame, list[str]]:
+    """docs with its other columns under names that clash with nothing, and those other columns."""
+    rest = [c for c in docs.columns if c not in ("doc_id", "text")]
+    return docs.select("doc_id", "text", *[F.col(f"`{c}`").alias(f"other{i}") for i, c in enumerate(rest)]), rest
+
+
+def cleaned(docs: DataFrame) -> DataFrame:
+    """docs, all columns as they are but for the text, which dedup_lines has cleaned; without documents of which nothing remains."""
+    plain, rest = _plainly(docs)
+    out = _dedup(plain).where("NOT emptied")
+    back = {c: F.col(f"other{i}").alias(c) for i, c in enumerate(rest)}
+    return out.select(*[back.get(c, c) for c in docs.columns])
+
+
 def dedup_lines(docs: DataFrame) -> DataFrame:
     """docs with text cleaned and three more columns: removed (spans of the text before, code points [start, end)),
-    n_removed (words), and emptied (whether they were all). One row for each row of docs (doc_id, text, any others).
+    n_removed (words), and emptied (whether they were all). One row for each row of docs (doc_id, text, any others; others that
+    are named like the three are replaced).
 
     The place that stays is the first by doc_id, then by position; with null doc_id first of all. Rows that repeat a doc_id
     with another text are ordered by a hash of the text; rows that repeat both are one document, of which no copy counts as
     later. Null texts stay null, with nothing removed; texts of fewer than RUN words lose nothing. Words are compared with
     A-Z lowered.
     """
+    plain, rest = _plainly(docs.drop("removed", "n_removed", "emptied"))
+    back = {c: F.col(f"other{i}").alias(c) for i, c in enumerate(rest)}
+    return _dedup(plain).select(*[back.get(c, c) for c in docs.columns if c in ("doc_id", "text", *rest)], "removed", "n_removed", "emptied")
+
+
+def _dedup(docs: DataFrame) -> DataFrame:
     keyed = docs.withColumns({"_key": F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))), "_th": F.pmod(F.xxhash64("text"), F.lit(2**31)).cast("int")})
     prints = written(_fingerprints(keyed), "prints")
     first = prints.groupBy("h").agg(F.count("*").alias("n"), F.min(F.struct("_key", "_th", "pos")).alias("f")).where("n > 1")

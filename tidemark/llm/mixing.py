@@ -28,7 +28,7 @@ TOPIC_LETTERS = 6
 
 
 def with_topics(docs: DataFrame) -> DataFrame:
-    """docs and two columns: topic, the crc32 of the commonest word of TOPIC_LETTERS bytes or more (of equally common ones the
+    """docs and two columns: topic, the crc32 of the commonest word of TOPIC_LETTERS letters or more (of equally common ones the
     smallest) modulo TOPICS, and n_tokens, its words. Texts without such a word, empty and null ones have topic -1."""
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
 
@@ -107,15 +107,24 @@ def _rake_table(cells: DataFrame, powers: dict[str, float], keep: float, rounds:
     return w.select(*DIMS, ratio.alias("weight"), F.least(F.lit(1.0), F.lit(hi) * ratio).alias("probability"))
 
 
+def _inner(name: str, taken: list[str]) -> str:
+    """A name for a dimension's cells that no column of the documents has."""
+    name = f"_{name}"
+    while name.lower() in {c.lower() for c in taken}:
+        name = f"_{name}"
+    return name
+
+
 def mix(docs: DataFrame, powers: dict[str, float] | None = None, keep: float = KEEP, rounds: int = ROUNDS, driver_cells: int = DRIVER_CELLS, seed: int = 1, with_text: bool = True) -> DataFrame:
     """docs (without text, if not with_text) with topic, n_tokens, weight (per token, 1 on average), probability and sampled.
 
-    docs: doc_id, text, source, lang and any others, none named like the five. Null sources and languages are categories of
+    docs: doc_id, text, source, lang and any others; those named like the five are replaced. Null sources and languages are categories of
     their own. A document is drawn where a hash of its doc_id falls under its probability: rows of one id and cell are drawn
     together, rows without tokens never.
     """
     powers = powers or POWERS
     spark = docs.sparkSession
+    docs = docs.drop("topic", "n_tokens", "weight", "probability", "sampled")
     narrow = None if with_text else written(with_topics(docs).drop("text"), "topics")  # texts are read once
     counted = with_topics(docs.select("source", "lang", "text")) if narrow is None else narrow
     cells = written(counted.groupBy(*DIMS).agg(F.sum("n_tokens").alias("n")), "cells")
@@ -139,9 +148,10 @@ def mix(docs: DataFrame, powers: dict[str, float] | None = None, keep: float = K
         table = F.broadcast(table)
     else:
         table = written(_rake_table(written(safe, "cells"), powers, keep, rounds), "rates")
-    table = table.select(F.col("source").alias("_source"), F.col("lang").alias("_lang"), F.col("topic").alias("_topic"), "weight", "probability")
+    table = table.select(*[F.col(d).alias(_inner(d, docs.columns)) for d in DIMS], "weight", "probability")
     out = with_topics(docs) if narrow is None else narrow
     kept = [c for c in docs.columns if with_text or c != "text"]
-    same = (F.coalesce(F.col("source").cast("string"), F.lit(null)) == F.col("_source")) & (F.coalesce(F.col("lang").cast("string"), F.lit(null)) == F.col("_lang")) & (F.col("topic") == F.col("_topic"))
+    of = {d: F.col(_inner(d, docs.columns)) for d in DIMS}
+    same = (F.coalesce(F.col("source").cast("string"), F.lit(null)) == of["source"]) & (F.coalesce(F.col("lang").cast("string"), F.lit(null)) == of["lang"]) & (F.col("topic") == of["topic"])
     drawn = F.pmod(F.xxhash64(F.lit(seed), F.col("doc_id")), F.lit(2**53)) / float(2**53)
-    return out.join(table, same, "left").select(*kept, "topic", "n_tokens", "weight", "probability", ((drawn < F.col("probability")) & (F.col("n_tokens") > 0)).alias("sampled"))
+    return out.join(table, same, "left").select(*[F.col(f"`{c}`") for c in kept], "topic", "n_tokens", "weight", "probability", ((drawn < F.col("probability")) & (F.col("n_tokens") > 0)).alias("sampled"))
