@@ -69,8 +69,16 @@ def test_successor_appends():
 
 
 def test_record_uid(spark):
-    t = spark.createDataFrame([(0,), (1,), (26,), (700,)], "n long")
-    assert [r[0] for r in t.select(scalars.record_uid(F.col("n"))).collect()] == ["aaaaaaaa", "aaaaaaab", "aaaaaaba", "aaaaabay"]
+    whole = 26**8
+    t = spark.createDataFrame([(n,) for n in (0, 1, 26, 700, whole - 1, whole, whole + 25, whole + 26, whole + 60)], "n long")
+    got = [r[0] for r in t.select(scalars.record_uid(F.col("n"))).collect()]
+    assert got[:4] == ["aaaaaaaa", "aaaaaaab", "aaaaaaba", "aaaaabay"]
+    uid, want = "z" * 8, []
+    for n in range(61):
+        uid = scalars.successor(uid)
+        if n in (0, 25, 26, 60):
+            want.append(uid)
+    assert got[4:] == ["z" * 8, *want]
 
 
 def test_times_keep_nanoseconds(spark):

@@ -151,30 +151,85 @@ def test_fold_keeps_the_earlier_of_equal_times(spark):
     assert syncfold.latest_states(log).first()["log_offset"] == 1
 
 
-@pytest.mark.parametrize("seed", range(30))
-def test_equal_sharing_properties(seed):
+def shared_one_by_one(rows, leader, alive):
+    """What equal sharing means: every token that nobody has any more goes to whoever has least at that moment."""
+    alive = {*alive, leader}
+    order = lambda r: (r["token"], r["state_ord"], r["task_uid"])
+    gone, stay = sorted((r for r in rows if r["task_uid"] not in alive), key=order), sorted((r for r in rows if r["task_uid"] in alive), key=order)
+    mine = {(r["kind"], r["token"]): (r["state_ord"], r["assignee"]) for r in stay if r["task_uid"] == leader}
+    held = {t: {r["token"] for r in stay if (r["task_uid"] == t and r["kind"] == "owned" and r["state_ord"] < 4) or (r["kind"] == "shared" and r["assignee"] == t)} for t in alive}
+    taken = {r["token"] for r in stay if r["kind"] == "owned" or r["assignee"] in alive}
+    owned = {r["token"] for r in stay if r["kind"] == "owned"}
+    for r in gone:
+        if r["kind"] == "owned" and r["state_ord"] == 4 and r["token"] not in owned and ("owned", r["token"]) not in mine:
+            mine["owned", r["token"]] = (4, None)
+            taken.add(r["token"])
+    for r in gone:
+        if r["kind"] == "shared" and r["assignee"] in alive and r["token"] not in taken:
+            mine[("owned", r["token"]) if r["assignee"] == leader else ("shared", r["token"])] = (r["state_ord"], None if r["assignee"] == leader else r["assignee"])
+            held[r["assignee"]].add(r["token"])
+            taken.add(r["token"])
+    lost = [r for r in gone if r["kind"] == "shared"], [r for r in stay if r["kind"] == "shared" and r["assignee"] not in alive], [r for r in gone if r["kind"] == "owned" and r["state_ord"] < 4]
+    for token in dict.fromkeys(r["token"] for part in lost for r in part):
+        if token not in taken:
+            t = min(alive, key=lambda t: (len(held[t]), t != leader, t))
+            held[t].add(token)
+            taken.add(token)
+            mine.pop(("shared", token), None)
+            mine["owned" if t == leader else "shared", token] = (0, None if t == leader else t)
+    return {(k, t, *v) for (k, t), v in mine.items() if k == "owned" or ("owned", t) not in mine and v[1] in alive}
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_equal_sharing_gives_each_to_the_least_loaded(spark, seed):
     rng = random.Random(seed)
     tasks = [f"t{i}" for i in range(6)]
     alive = tasks[:3]
     data = [dict(task_uid=rng.choice(tasks), kind="owned", token=f"p{i}", state_ord=rng.randrange(5), assignee=None) for i in range(60)]
-    data += [dict(task_uid=rng.choice(tasks), kind="shared", token=f"s{i}", state_ord=0, assignee=rng.choice(tasks)) for i in range(20)]
-    out = rebalance.equal_sharing(data, "t0", alive)
-    tokens = [r["token"] for r in out]
-    assert len(tokens) == len(set(tokens))
-    kept = {r["token"] for r in data if r["task_uid"] in alive and (r["kind"] == "owned" or r["assignee"] in alive)}
-    assert set(tokens) | kept == {r["token"] for r in data}
-    assert all(r["assignee"] in alive for r in out if r["kind"] == "shared")
-
-
-def test_equal_sharing_is_even():
-    data = [dict(task_uid=f"gone{i % 4}", kind="owned", token=f"p{i}", state_ord=3, assignee=None) for i in range(61)]
-    data += [dict(task_uid="t1", kind="owned", token=f"q{i}", state_ord=3, assignee=None) for i in range(9)]
-    load = {"t0": 0, "t1": 9, "t2": 0}
-    for r in rebalance.equal_sharing(data, "t0", ["t0", "t1", "t2"]):
-        load[r["assignee"] or "t0"] += 1
-    assert sum(load.values()) == 70 and max(load.values()) - min(load.values()) <= 1
-
-
-def test_lineage_depth_ends_on_cycles(spark):
-    e = spark.createDataFrame([("b", "a"), ("c", "b"), ("b", "c")], "token string, parent string")
-    assert lineage.depths(spark, e, 5).count() == 3
+    data += [dict(task_uid=rng.choice(tasks), kind="shared", token=f"s{i}" if i % 3 else f"p{i}", state_ord=rng.randrange(2), assignee=rng.choice(tasks)) for i in range(20)]
+    t = spark.createDataFrame([tuple(r[c] for c in rebalance.COLUMNS) for r in data], "task_uid string, kind string, token string, state_ord long, assignee string")
+    out = rebalance.share_equally(t, "t0", alive).collect()
+    assert len(out) == len({(r["kind"], r["token"]) for r in out}) and {r["task_uid"] for r in out} == {"t0"}
+    assert {(r["kind"], r["token"], r["state_ord"], r["assignee"]) for r in out} == shared_one_by_one(data, "t0", alive)
+
+
+def test_dealing_fills_the_lowest_first(spark):
+    loads = spark.createDataFrame([("a", 9), ("b", 0), ("c", 3)], "task_uid string, load long")
+    tokens = spark.createDataFrame([(f"p{i}", 0) for i in range(7)], "token string, class int")
+    got = {r["token"]: r["assignee"] for r in ownership.dealt(tokens, loads, "c").collect()}
+    assert [got[f"p{i}"] for i in range(7)] == ["b", "b", "b", "c", "b", "c", "b"]
+    assert ownership.dealt(tokens.where("false"), loads, "c").count() == 0
+
+
+def test_lineage_depth_on_cycles_and_long_chains(spark):
+    e = spark.createDataFrame([("b", "a"), ("c", "b"), ("b", "c"), ("d", "a")], "token string, parent string")
+    assert {r["token"]: r["depth"] for r in lineage.depths(e).collect()} == {"a": 0, "b": None, "c": None, "d": 1}
+
+
+def test_record_columns_as_text(spark):
+    t = spark.createDataFrame([("p", '{"heartbeat_record":{"timestamp":"1970-01-01T00:00:01Z"}}')], "partition_token string, record string")
+    v = t.withColumn("record", F.parse_json("record"))
+    assert decode.decode(t, "postgres").collect() == decode.decode(v, "postgres").collect()
+    with pytest.raises(ValueError, match="no JSON text"):
+        decode.decode_json(t.withColumn("record", F.lit(1)))
+    null = t.withColumn("record", F.lit(None).cast("string"))
+    assert decode.decode_json(null, strict=False).first()["record_type"] is None
+    with pytest.raises(PySparkException, match="no known record kind"):
+        decode.decode_json(null).collect()
+
+
+def test_a_wrong_key_raises(spark):
+    kind = "table_name string, column_name string, type_text string, is_primary_key boolean"
+    a, b = (spark.createDataFrame([("t", "id", "INT64", k)], kind) for k in (True, False))
+    with pytest.raises(PySparkException, match="primary key data is incorrect"):
+        schema.validate(a, b).collect()
+    assert schema.validate(a, a, a.where("false")).first()["problem"] == "unwatched"
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_scaling_as_a_column(spark, seed):
+    rng = random.Random(seed)
+    rows = [(i, rng.randrange(30), rng.randrange(400), rng.randrange(20)) for i in range(40)]
+    t = spark.createDataFrame(rows, "i int, tasks int, work long, idle long")
+    got = {r["i"]: r["n"] for r in t.select("i", metrics.scaled(F.col("tasks"), 2, 2, 20, F.col("work"), F.col("idle")).alias("n")).collect()}
+    assert got == {i: metrics.scale(c, 2, 2, 20, w, d) for i, c, w, d in rows}

@@ -41,18 +41,40 @@ def test_root_token_reads_records_without_one(spark, tmp_path):
     assert spark.read.format("tidemark_changes").options(path=str(tmp_path / "l"), tokens='["Parent0"]').load().count() == 1
 
 
-def test_positions_never_split_a_time(tmp_path, spark):
-    spark.createDataFrame([("a", t, "{}") for t in (1, 2, 2, 2, 3, 4)], "partition_token string, commit_us long, record string").coalesce(1).write.parquet(str(tmp_path / "l"))
-    r = change_stream.ChangeStreamReader({"path": str(tmp_path / "l"), "max_rows": "2"})
-    seen, at = [], r.initialOffset()
-    for _ in range(6):
-        to = r.latestOffset()
-        got = [b.column("commit_us").to_pylist() for c in r.partitions(at, to) for b in r.read(c)]
-        if to == at:
-            break
-        seen.append([x for g in got for x in g])
-        at = to
-    assert seen == [[1], [2, 2, 2], [3, 4]]
+LOG = "partition_token string, commit_us long, record string"
+
+
+def test_late_records_of_a_partition_behind_another_are_read(spark, tmp_path):
+    """Positions are kept by partition: what p1 brings after p2 went ahead arrives, also after a restart, and nothing arrives twice."""
+    change_stream.register(spark)
+    path, out, cp = (str(tmp_path / n) for n in ("l", "o", "c"))
+
+    def batch(*rows):
+        """Append rows, restart the query from its checkpoint: all records so far, and all heartbeats."""
+        if rows:
+            spark.createDataFrame([(p, t, json.dumps({"n": t})) for p, t in rows], LOG).coalesce(1).write.mode("append").parquet(path)
+        q = spark.readStream.format("tidemark_changes").options(path=path, max_rows=1).load().writeStream.format("parquet").option("checkpointLocation", cp).trigger(availableNow=True).start(out)
+        q.awaitTermination(120)
+        assert q.exception() is None
+        got = sorted(((r["partition_token"], r["commit_us"], "heartbeat" in r["record"]) for r in spark.read.schema(LOG).parquet(out).collect()), key=str)
+        return [r[:2] for r in got if not r[2]], [r[:2] for r in got if r[2]]
+
+    assert batch(("p1", 100), ("p2", 300), (None, 50)) == ([("p1", 100), ("p2", 300), (None, 50)], [])
+    want = [("p1", 100), ("p1", 200), ("p1", 400), ("p2", 300), ("p3", 10), (None, 50)], [("p2", 400), (None, 400)]
+    assert batch(("p1", 200), ("p1", 400), ("p3", 10)) == want
+    assert batch() == want  # nothing new: nothing more
+
+
+def test_positions_by_statistics_and_by_columns_agree(spark, tmp_path):
+    rows = [(f"p{i % 3}", i, "{}") for i in range(300)] + [(None, 7, "{}")]
+    t = spark.createDataFrame(rows, LOG)
+    t.repartition(4, "partition_token").write.parquet(str(tmp_path / "a"))
+    t.coalesce(1).write.parquet(str(tmp_path / "b"))
+    want = {"p0": 297, "p1": 298, "p2": 299, "Parent0": 7}
+    for name in "ab":
+        r = change_stream.ChangeStreamReader({"path": str(tmp_path / name)})
+        assert r.latestOffset() == {"at": want} == r.latestOffset()
+        assert change_stream.ChangeStreamReader({"path": str(tmp_path / name), "end_us": "100", "tokens": '["p1", "Parent0"]'}).latestOffset() == {"at": {"p1": 100, "Parent0": 7}}
 
 
 def test_stream_to_sink_equals_batch(spark, log, tmp_path):

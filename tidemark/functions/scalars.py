@@ -40,10 +40,13 @@ def resume_position(offset: Column, start: Column) -> Column:
 def record_uid(rank: Column) -> Column:
     """The id of the rank-th record of a partition (0: aaaaaaaa, then the string successor).
 
-    Up to 26**8 - 1 that is base 26; behind it each id is longer by one a: successors of zzzzzzzz append.
+    Up to 26**8 - 1 that is base 26. Behind zzzzzzzz successors append: a letter moves from a to z, then another a is appended.
     """
-    digit = lambda p: F.substr(F.lit(UID_LETTERS), (F.floor(rank / 26**p) % 26 + 1).cast("int"), F.lit(1))
-    return F.concat(*[digit(p) for p in reversed(range(UID_LENGTH))])
+    digit = lambda n, p: F.substr(F.lit(UID_LETTERS), (F.floor(n / 26**p) % 26 + 1).cast("int"), F.lit(1))
+    whole = 26**UID_LENGTH
+    beyond = rank - whole
+    longer = F.concat(F.repeat(F.lit("z"), (UID_LENGTH + F.floor(beyond / 26)).cast("int")), digit(beyond, 0))
+    return F.when(rank < whole, F.concat(*[digit(rank, p) for p in reversed(range(UID_LENGTH))])).otherwise(longer)
 
 
 def successor(text: str) -> str:
@@ -83,6 +86,11 @@ def lags_too_much(offset: Column, now: Column, heartbeat: Column) -> Column:
     return now - offset > heartbeat + ACCEPTED_LAG
 
 
+def offset_lag(start_us: Column, now_ms: Column) -> Column:
+    """Milliseconds by which a partition's position lies behind now."""
+    return now_ms - F.floor(start_us / 1000).cast("long")
+
+
 def task_uid(connector: Column, task: Column, unique: Column) -> Column:
     return F.concat(connector, F.lit("_task-"), task.cast("string"), F.lit("_"), unique)
 

@@ -14,7 +14,7 @@ ROOT = "Parent0"
 
 # The wire's enumerations; anything else is UNKNOWN.
 MOD_TYPES = ("INSERT", "UPDATE", "DELETE")
-CAPTURE_TYPES = ("OLD_AND_NEW_VALUES", "NEW_VALUES", "NEW_ROW", "NEW_ROW_AND_OLD_VALUES")
+CAPTURE_TYPES = ("OLD_AND_NEW_VALUES", "NEW_ROW", "NEW_VALUES", "NEW_ROW_AND_OLD_VALUES")
 
 MOD = "struct<keys:map<string,string>,old_values:map<string,string>,new_values:map<string,string>>"
 DATA = (
@@ -45,14 +45,30 @@ def wire_dialect(dialect: str, mutable_ranges: bool = False) -> str:
     return "nested" if dialect == "google" else "json"
 
 
+def text_column(rows: DataFrame, name: str) -> Column:
+    """A record column as JSON text: strings as they are, variants written out; any other type raises."""
+    kind = rows.schema[name].dataType.simpleString()
+    if kind not in ("string", "variant"):
+        raise ValueError(f"no JSON text in a column of type {kind}: {name}")
+    return F.col(name) if kind == "string" else F.to_json(F.col(name))
+
+
+def decode(rows: DataFrame, dialect: str, mutable_ranges: bool = False, strict: bool = True) -> DataFrame:
+    """Records of a stream in its dialect's wire format."""
+    nested = wire_dialect(dialect, mutable_ranges) == "nested"
+    return decode_nested(rows, strict=strict) if nested else decode_json(rows, strict=strict)
+
+
 def decode_json(rows: DataFrame, record: str = "record", token: str = "partition_token", strict: bool = True) -> DataFrame:
-    """Rows of JSON text: the first known kind of each counts. strict: an unknown kind or a missing field raises."""
+    """Rows of JSON text (or variants): the first known kind of each counts. Null text is an empty object, a record of no kind.
+    strict: an unknown kind or a missing field raises; else such rows have a null record_type."""
+    rows = rows.withColumn(record, text_column(rows, record))
     # through a generator of one row: merged into later projections, the text would be parsed again for every field
     r = rows.select("*", F.explode(F.array(F.from_json(F.coalesce(F.col(record), F.lit("{}")), WIRE))).alias("_r"))
     data, beat, child = F.col("_r.data_change_record"), F.col("_r.heartbeat_record"), F.col("_r.child_partitions_record")
     kind = F.when(data.isNotNull(), "data").when(beat.isNotNull(), "heartbeat").when(child.isNotNull(), "child")
     if strict:
-        kind = F.coalesce(kind, F.raise_error(F.concat(F.lit("no known record kind: "), F.substr(record, F.lit(1), F.lit(200)))))
+        kind = F.coalesce(kind, F.raise_error(F.concat(F.lit("no known record kind: "), F.coalesce(F.substr(record, F.lit(1), F.lit(200)), F.lit("null")))))
     r = r.withColumns({"record_type": kind, "_token": F.col(token)})
     out = r.select(
         *[c for c in rows.columns if c != record],
@@ -113,10 +129,14 @@ def with_read_metadata(records: DataFrame, read_at: Column, query_started: Colum
     return records.withColumn("_meta", F.struct(F.col("partition_token"), stamp.alias("record_timestamp"), query_started.alias("query_started_at"), read_at.alias("record_read_at")))
 
 
-def children(records: DataFrame) -> DataFrame:
-    """One row for each child partition that child records list: token, parents (sorted), start, origin (the reading token)."""
-    c = records.where("record_type = 'child'").select(F.col("partition_token").alias("origin"), F.col("child.start_timestamp").alias("start"), F.explode("child.child_partitions").alias("c"))
-    return c.select(F.col("c.token").alias("token"), F.sort_array("c.parent_partition_tokens").alias("parents"), "start", "origin")
+def children(records: DataFrame, end: str | None = None) -> DataFrame:
+    """One row for each child partition that child records list: token, parents (sorted), start, end, origin (the reading token).
+
+    A child ends where the partition does that it was read from; end: the column of records that says when (without: never).
+    """
+    until = F.col(end) if end else F.lit(None).cast("string")
+    c = records.where("record_type = 'child'").select(F.col("partition_token").alias("origin"), F.col("child.start_timestamp").alias("start"), until.alias("end"), F.explode("child.child_partitions").alias("c"))
+    return c.select(F.col("c.token").alias("token"), F.sort_array("c.parent_partition_tokens").alias("parents"), "start", "end", "origin")
 
 
 def partition_records(rows: DataFrame, token: str = "partition_token") -> DataFrame:

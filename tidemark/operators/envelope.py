@@ -72,11 +72,33 @@ def source_info(stream: dict[str, str], low_watermark: Column | None = None) ->
     )
 
 
-def with_record_uid(mods: DataFrame) -> DataFrame:
-    """mods and record_uid: each partition's records in commit order, numbered in letters."""
+def stamp_source(stream: dict[str, str], table: Column, low_watermark: Column) -> Column:
+    """The provenance struct of a watermark stamp: names, table and watermark; all else is null."""
+    for name in ("project_id", "instance_id", "database_id", "change_stream_name"):
+        if not stream.get(name):
+            raise ValueError(f"{name} is needed")
+    kinds = {"server_transaction_id": "string", "ts_ms": "long", "record_sequence": "long", "number_records_in_transaction": "long", "transaction_tag": "string", "system_transaction": "boolean",
+             "value_capture_type": "string", "partition_token": "string", "mod_number": "int", "is_last_record_in_transaction_in_partition": "boolean", "number_of_partitions_in_transaction": "long"}
+    none = {n: F.lit(None).cast(t).alias(n) for n, t in kinds.items()}
+    names = [F.lit(stream[n]).alias(n) for n in ("project_id", "instance_id", "database_id", "change_stream_name")]
+    return F.struct(*names, table.alias("table"), none.pop("server_transaction_id"), low_watermark.alias("low_watermark"), *none.values())
+
+
+def with_record_uid(mods: DataFrame, slot_seconds: int = 3600) -> DataFrame:
+    """mods and record_uid: each partition's records in commit order, numbered in letters.
+
+    Records are numbered within slots of time, and each slot begins where the ones before it end, so that no task sorts a partition's
+    whole history.
+    """
     k = order_key(F.col("data.commit_timestamp"))
-    w = Window.partitionBy("partition_token").orderBy(k["sec"], k["nanos"], F.col("data.record_sequence"), F.col("data.server_transaction_id"), F.col("mod_number"))
-    return mods.withColumn("record_uid", record_uid(F.row_number().over(w) - 1))
+    m = mods.withColumns({"_k": k, "_slot": F.floor(k["sec"] / slot_seconds)})
+    order = ["_k.sec", "_k.nanos", "data.record_sequence", "data.server_transaction_id", "mod_number"]
+    inner = F.row_number().over(Window.partitionBy("partition_token", "_slot").orderBy(*order)).cast("long")
+    sizes = m.groupBy(F.col("partition_token").alias("_token"), F.col("_slot").alias("_of")).agg(F.count("*").alias("_size"))
+    before = F.sum("_size").over(Window.partitionBy("_token").orderBy("_of")) - F.col("_size")
+    starts = sizes.select("_token", "_of", before.alias("_before"))
+    out = m.withColumn("_n", inner).join(starts, F.col("partition_token").eqNullSafe(F.col("_token")) & F.col("_slot").eqNullSafe(F.col("_of")))
+    return out.select(*mods.columns, record_uid(F.col("_before") + F.col("_n") - 1).alias("record_uid"))
 
 
 def envelope(

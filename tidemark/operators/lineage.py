@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..plans.work import cut
+
 CREATED, READY, SCHEDULED, RUNNING, FINISHED, REMOVED = range(6)
 #: A token batch of the root; how long a finished partition stays.
 TOKEN_BATCH, RETIRE_AFTER_US = 200, 7_200_000_000
@@ -79,16 +81,20 @@ def stream_ended(partitions: DataFrame, now_us: int, end_us: int) -> DataFrame:
     ).select(((F.lit(now_us) > end_us) & (F.col("in_progress") == 0) & (F.col("finished") > 0)).alias("ended"), "in_progress", "finished")
 
 
-def depths(spark, edges: DataFrame, most: int = 64) -> DataFrame:
-    """token, depth: generations from the oldest known ancestor, the longest way; an extension.
+def depths(edges: DataFrame) -> DataFrame:
+    """token, depth: generations from the oldest known ancestor, the longest way; null on a cycle and behind one; an extension.
 
-    One join a generation; the loop ends with the longest way, or with a cycle at `most`.
+    A generation is what has no parent left among the edges that are not yet done, so the edges shrink from join to join; each round is
+    checkpointed, and there is one for each generation, however many those are.
     """
-    roots = edges.select(F.col("parent").alias("token")).join(edges.select("token"), "token", "left_anti").distinct()
-    level = roots.select("token", F.lit(0).cast("long").alias("depth"))
-    out, d = level, 0
-    while d < most and level.limit(1).count():
+    every = edges.select("token").union(edges.select("parent")).distinct()
+    left = cut(edges.select("token", "parent").distinct())
+    done = level = every.join(left.select("token").distinct(), "token", "left_anti").select("token", F.lit(0).cast("long").alias("depth"))
+    d = 0
+    while True:
         d += 1
-        level = edges.join(level.select(F.col("token").alias("parent")), "parent").select("token").distinct().select("token", F.lit(d).cast("long").alias("depth"))
-        out = out.union(level)
-    return out.groupBy("token").agg(F.max("depth").alias("depth"))
+        rest = cut(left.join(level.select(F.col("token").alias("parent")), "parent", "left_anti").select("token", "parent"))
+        level = cut(left.select("token").distinct().join(rest.select("token").distinct(), "token", "left_anti").select("token", F.lit(d).cast("long").alias("depth")))
+        if not level.limit(1).count():
+            return every.join(done, "token", "left")
+        done, left = cut(done.union(level)), rest

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import LATE_HEARTBEAT, SLOW, is_stuck, latencies, stuck_intervals
@@ -27,13 +27,34 @@ def statistics(rows: DataFrame, value: str, order: str, *by: str) -> DataFrame:
     )
 
 
-def quantiles(rows: DataFrame, value: str, *by: str, exact: bool = False, accuracy: int = 10_000) -> DataFrame:
-    """p50, p95, p99 by group: of a mergeable sketch with relative rank error 1 / accuracy, or exact."""
-    many = F.percentile(value, list(QUANTILES)) if exact else F.percentile_approx(value, list(QUANTILES), accuracy)
-    out = rows.groupBy(*by).agg(many.alias("_q"))
+def quantiles(rows: DataFrame, value: str, *by: str) -> DataFrame:
+    """p50, p95, p99 by group, exact."""
+    out = rows.groupBy(*by).agg(F.percentile(value, list(QUANTILES)).alias("_q"))
     return out.select(*by, *[F.col("_q")[i].alias(f"p{int(q * 100)}") for i, q in enumerate(QUANTILES)])
 
 
+def sketch(rows: DataFrame, value: str, *by: str, accuracy: float = 0.01) -> DataFrame:
+    """The groups' values in buckets whose bounds grow by a constant factor: by, bucket (null for 0 and less), n. Sketches of parts add up."""
+    growth = math.log((1 + accuracy) / (1 - accuracy))
+    return rows.where(F.col(value).isNotNull()).groupBy(*by, F.when(F.col(value) > 0, F.ceil(F.ln(F.col(value)) / growth)).alias("bucket")).agg(F.count("*").alias("n"))
+
+
+def quantiles_of(buckets: DataFrame, *by: str, accuracy: float = 0.01) -> DataFrame:
+    """p50, p95, p99 of sketches, each within `accuracy` of the value of that rank, relative to it. There are few buckets a group."""
+    growth = math.log((1 + accuracy) / (1 - accuracy))
+    middle = F.when(F.col("bucket").isNull(), 0.0).otherwise(2 * F.exp(F.col("bucket") * growth) / (1 + math.exp(growth)))
+    w = Window.partitionBy(*by)
+    upto = buckets.withColumns({"_upto": F.sum("n").over(w.orderBy(F.col("bucket").asc_nulls_first())), "_all": F.sum("n").over(w), "_v": middle})
+    rank = lambda q: F.floor(F.lit(q) * (F.col("_all") - 1))
+    return upto.groupBy(*by).agg(*[F.min(F.when(F.col("_upto") > rank(q), F.col("_v"))).alias(f"p{int(q * 100)}") for q in QUANTILES])
+
+
+def quantiles_by_interval(rows: DataFrame, value: str, time: str, interval: int, *by: str, accuracy: float = 0.01) -> DataFrame:
+    """The same for each interval of time (in time's unit), after which the meter begins anew: by, interval, p50, p95, p99."""
+    r = rows.withColumn("interval", F.floor(F.col(time) / interval).cast("long"))
+    return quantiles_of(sketch(r, value, *by, "interval", accuracy=accuracy), *by, "interval", accuracy=accuracy)
+
+
 def slow(rows: DataFrame, *values: str, limit: int = SLOW) -> DataFrame:
     """Rows of which one of the values exceeds the limit."""
     any_ = F.lit(False)
@@ -71,6 +92,25 @@ def scale(current: int, desired: int, least: int, most: int, in_work: int, idle:
     return tasks
 
 
+def autoscale(messages: DataFrame, desired: int, least: int, most: int) -> DataFrame:
+    """log_offset, required: how many tasks each message asks for; messages: log_offset, message_type, tasks, in_work, idle.
+
+    The first message counts from the least number of tasks; after it only UPDATE_EPOCH messages count, each from the tasks it lists. Each
+    decision depends on its own message alone, so this is scale() as an expression over all of them at once.
+    """
+    first = messages.agg(F.min("log_offset").alias("_first"))
+    m = messages.join(F.broadcast(first), F.lit(True)).where((F.col("log_offset") == F.col("_first")) | (F.col("message_type") == "UPDATE_EPOCH"))  # one row
+    return m.select("log_offset", scaled(F.when(F.col("log_offset") == F.col("_first"), F.lit(least)).otherwise(F.col("tasks")), desired, least, most, F.col("in_work"), F.col("idle")).alias("required"))
+
+
+def scaled(current: Column, desired: int, least: int, most: int, in_work: Column, idle: Column) -> Column:
+    """scale() as a column."""
+    start = F.least(F.greatest(current, F.lit(least)), F.lit(most)).cast("int")
+    more = lambda t, _: F.when((t < most) & (t > 0) & (in_work > t * desired), F.least(F.lit(most), t + F.ceil(t * F.lit(2) / 10).cast("int"))).otherwise(t)
+    up = F.aggregate(F.sequence(F.lit(1), F.lit(max(1, most))), start, more)
+    return F.transform(F.array(up), lambda t: F.when((t > least) & (in_work < desired * t) & (2 * idle > t), F.greatest(F.lit(least), F.floor(t / 2).cast("int"))).otherwise(t))[0]
+
+
 def counters(events: DataFrame) -> DataFrame:
     """Sums, counts, last values and distinct names of metric events (name, kind, value, text, at), by name."""
     return events.groupBy("name").agg(

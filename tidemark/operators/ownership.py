@@ -55,6 +55,26 @@ def least_loaded(loads: DataFrame, me: str | None = None) -> DataFrame:
     return loads.agg(F.min_by("task_uid", order).alias("task_uid"), F.min("load").alias("load"))
 
 
+def dealt(tokens: DataFrame, loads: DataFrame, me: str) -> DataFrame:
+    """token, assignee: tokens (token, class), in the order of class and token, each given to whoever has least by then; of equal ones to me,
+    then by text. loads: task_uid, load, small.
+
+    Giving to the least loaded again and again fills the places (level, task) from the lowest level up: the n-th token gets the n-th
+    place. Tokens are a stream's partitions, so one task may number them.
+    """
+    spark = tokens.sparkSession
+    many = tokens.count()
+    have = sorted((r["load"], r["task_uid"] != me, r["task_uid"]) for r in loads.collect())
+    low, top = 0, max((n for n, _, _ in have), default=0) + many  # the least level below which there are places enough
+    while low < top:
+        middle = (low + top) // 2
+        low, top = (low, middle) if sum(max(0, middle - n) for n, _, _ in have) >= many else (middle + 1, top)
+    places = spark.createDataFrame([(n, o, t) for n, o, t in have], "load long, other boolean, task_uid string").where(F.col("load") < top)
+    places = places.select(F.explode(F.sequence("load", F.lit(top - 1).cast("long"))).alias("level"), "other", "task_uid")
+    places = places.select(F.row_number().over(Window.orderBy("level", "other", "task_uid")).alias("_n"), F.col("task_uid").alias("assignee"))
+    return tokens.select("token", F.row_number().over(Window.orderBy("class", "token")).alias("_n")).join(places, "_n").select("token", "assignee")
+
+
 def to_take(claims: DataFrame, me: str) -> DataFrame:
     """Shared rows addressed to a task, one for each token."""
     return first_by_state(claims.where((F.col("kind") == "shared") & (F.col("assignee") == me)))

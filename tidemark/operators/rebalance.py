@@ -1,20 +1,16 @@
 """Handing partitions of tasks that are gone to those that stay.
 
-The greedy form gives all to the leader and is plain set logic. Equal sharing gives each to whoever has least then, so every
-choice depends on the ones before: it runs on the driver over the claims, of which there are as many as partitions in work.
+The greedy form gives all to the leader; equal sharing gives each to whoever has least then. Both are set logic over claims.
 """
 
 from __future__ import annotations
 
-import heapq
-from collections.abc import Iterable
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .decode import ROOT
 from .lineage import CREATED, FINISHED, READY, REMOVED, RUNNING, SCHEDULED
-from .ownership import first_by_state
+from .ownership import dealt, first_by_state
 
 COLUMNS = ("task_uid", "kind", "token", "state_ord", "assignee")
 
@@ -49,72 +45,50 @@ def greedy(claims: DataFrame, leader: str, alive: DataFrame) -> DataFrame:
     return take(have, lost.withColumn("kind", F.lit("owned")).withColumn("assignee", none), 4)
 
 
-def equal_sharing(rows: Iterable[dict], leader: str, alive: Iterable[str]) -> list[dict]:
-    """The leader's claims after it shared out what gone tasks had; rows: dicts of COLUMNS.
+def share_equally(claims: DataFrame, leader: str, alive: list[str]) -> DataFrame:
+    """The leader's claims (COLUMNS) after it shared out what gone tasks had; no token is lost and none given twice.
 
-    Finished ones become the leader's; shared ones stay with a living assignee; all else goes, as CREATED, to whoever has least
-    at that moment (of equal ones the leader, then by text). No token is lost and none given twice.
+    Finished ones of gone tasks become the leader's. Shared ones stay with a living assignee, as they are; the leader owns those that were
+    meant for it. All else that is in progress or shared goes, as CREATED, to whoever has least by then: first what gone tasks shared,
+    then what was shared with gone ones, then what gone tasks owned, each by token; of equal tasks the leader, then by text.
     """
-    rows, alive = list(rows), set(alive) | {leader}
-    mine = {(r["kind"], r["token"]): dict(r) for r in rows if r["task_uid"] == leader}
-    gone = sorted((r for r in rows if r["task_uid"] not in alive), key=lambda r: (r["token"], r["state_ord"], r["task_uid"]))
-    stay = [r for r in rows if r["task_uid"] in alive]
-    held: dict[str, set[str]] = {t: set() for t in alive}
-    for r in stay:
-        if r["kind"] == "owned" and r["state_ord"] not in (FINISHED, REMOVED):
-            held[r["task_uid"]].add(r["token"])
-        elif r["kind"] == "shared" and r["assignee"] in alive:
-            held[r["assignee"]].add(r["token"])
-    heap = [(len(s), t != leader, t) for t, s in held.items()]
-    heapq.heapify(heap)
-    owned = {r["token"] for r in stay if r["kind"] == "owned"}
-    spoken = {r["token"] for r in stay if r["kind"] == "shared" and r["assignee"] in alive}
-
-    def give(token: str) -> None:
-        while heap[0][0] != len(held[heap[0][2]]):
-            n, o, t = heapq.heappop(heap)
-            heapq.heappush(heap, (len(held[t]), o, t))
-        _, _, t = heap[0]
-        held[t].add(token)
-        kind = "owned" if t == leader else "shared"
-        mine[kind, token] = {"task_uid": leader, "kind": kind, "token": token, "state_ord": CREATED, "assignee": None if t == leader else t}
-        (owned if t == leader else spoken).add(token)
-
-    for r in gone:
-        if r["kind"] == "owned" and r["state_ord"] == FINISHED and r["token"] not in owned:
-            mine["owned", r["token"]] = {**r, "task_uid": leader, "assignee": None}
-            owned.add(r["token"])
-    for r in gone:
-        if r["kind"] == "shared" and r["token"] not in owned | spoken and r["assignee"] in alive:
-            if r["assignee"] == leader:
-                mine["owned", r["token"]] = {**r, "task_uid": leader, "kind": "owned", "assignee": None, "state_ord": CREATED}
-                owned.add(r["token"])
-            else:
-                mine["shared", r["token"]] = {**r, "task_uid": leader}
-                spoken.add(r["token"])
-            held[r["assignee"]].add(r["token"])
-    lost = [r["token"] for r in gone if r["kind"] == "shared"]
-    lost += [r["token"] for r in stay if r["kind"] == "shared" and r["assignee"] not in alive]
-    lost += [r["token"] for r in gone if r["kind"] == "owned" and r["state_ord"] not in (FINISHED, REMOVED)]
-    for token in dict.fromkeys(lost):
-        if token not in owned and token not in spoken:
-            mine.pop(("shared", token), None)
-            give(token)
-    for kind, token in list(mine):
-        if kind == "shared" and ("owned", token) in mine:
-            del mine[kind, token]
-        elif kind == "shared" and mine[kind, token]["assignee"] not in alive:
-            del mine[kind, token]
-    return sorted(mine.values(), key=lambda r: (r["token"], r["kind"]))
-
-
-def share_equally(claims: DataFrame, leader: str, alive: list[str], most: int = 1_000_000) -> DataFrame:
-    """equal_sharing of a table of claims; more than `most` claims raise, as they would not fit the driver."""
-    if claims.count() > most:
-        raise ValueError(f"more than {most} claims: use greedy()")
-    rows = equal_sharing([r.asDict() for r in claims.select(*COLUMNS).collect()], leader, alive)
-    kinds = "task_uid string, kind string, token string, state_ord long, assignee string"
-    return claims.sparkSession.createDataFrame([tuple(r[c] for c in COLUMNS) for r in rows], kinds)
+    spark = claims.sparkSession
+    living = F.broadcast(spark.createDataFrame([(t,) for t in sorted({*alive, leader})], "_task string"))  # as many rows as tasks
+    c = claims.select(*COLUMNS)
+    stay = c.join(living, c.task_uid == living._task, "left_semi")
+    gone = c.join(living, c.task_uid == living._task, "left_anti")
+    meant = lambda t: t.where("kind = 'shared'").join(living, F.col("assignee") == F.col("_task"), "left_semi")
+    none = F.lit(None).cast("string")
+    mine = stay.where(F.col("task_uid") == leader)
+    # 1: finished ones
+    owned = stay.where("kind = 'owned'").select("token")
+    one = first_by_state(gone.where((F.col("kind") == "owned") & (F.col("state_ord") == FINISHED))).join(owned, "token", "left_anti")
+    one = one.select(F.lit(leader).alias("task_uid"), "kind", "token", "state_ord", none.alias("assignee"))
+    # 2: shared ones with a living assignee
+    known = owned.union(one.select("token")).union(meant(stay).select("token"))
+    two = first_by_state(meant(gone)).join(known, "token", "left_anti")
+    own = F.col("assignee") == leader
+    kept = two.select(F.lit(leader).alias("task_uid"), F.when(own, "owned").otherwise("shared").alias("kind"), "token", "state_ord", F.when(own, none).otherwise(F.col("assignee")).alias("assignee"))
+    # 3: the rest, dealt
+    lost = gone.where("kind = 'shared'").select("token", F.lit(0).alias("class"))
+    lost = lost.union(stay.where("kind = 'shared'").join(living, F.col("assignee") == F.col("_task"), "left_anti").select("token", F.lit(1)))
+    lost = lost.union(gone.where((F.col("kind") == "owned") & ~F.col("state_ord").isin(FINISHED, REMOVED)).select("token", F.lit(2)))
+    lost = lost.groupBy("token").agg(F.min("class").alias("class")).join(known.union(two.select("token")), "token", "left_anti")
+    held = stay.where((F.col("kind") == "owned") & ~F.col("state_ord").isin(FINISHED, REMOVED)).select("task_uid", "token")
+    held = held.union(meant(stay).select("assignee", "token")).union(two.select("assignee", "token")).distinct()
+    loads = living.join(held, F.col("_task") == F.col("task_uid"), "left").groupBy("_task").agg(F.count("token").alias("load")).withColumnRenamed("_task", "task_uid")
+    given = dealt(lost, loads, leader)
+    own = F.col("assignee") == leader
+    three = given.select(F.lit(leader).alias("task_uid"), F.when(own, "owned").otherwise("shared").alias("kind"), "token", F.lit(CREATED).cast("long").alias("state_ord"), F.when(own, none).otherwise(F.col("assignee")).alias("assignee"))
+    new = one.unionByName(kept).unionByName(three)
+    have = mine.where("kind = 'owned'").unionByName(new.where("kind = 'owned'"))
+    shared = meant(mine).unionByName(new.where("kind = 'shared'")).join(have.select("token"), "token", "left_anti")
+    return have.unionByName(shared.select(*COLUMNS))
+
+
+def leader(assignments: DataFrame) -> DataFrame:
+    """generation, consumer_id of the consumers that hold output partition 0 and lead; assignments: generation, consumer_id, partition."""
+    return assignments.where("partition = 0").select("generation", "consumer_id")
 
 
 def cold_start(claims: DataFrame) -> bool:

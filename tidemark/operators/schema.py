@@ -77,14 +77,19 @@ def merge(previous: DataFrame, new: DataFrame) -> DataFrame:
     return both.select("table_name", "column_name", *[F.col(f"_x.{c}").alias(c) for c in rest], F.col("_n").isNull().alias("retained"))
 
 
-def validate(record_columns: DataFrame, schema: DataFrame) -> DataFrame:
-    """What of each table's record columns does not fit its schema: missing, type or key; a table in neither order fits not at all.
+def validate(record_columns: DataFrame, schema: DataFrame, watched: DataFrame | None = None) -> DataFrame:
+    """What of each table's record columns does not fit its schema: missing, unwatched or type. A key that is none, or the reverse, raises.
 
-    Both: table_name, column_name, type_text, is_primary_key.
+    All: table_name, column_name; the first two also type_text, is_primary_key; watched: the columns that the stream shows (without: all).
     """
     s = schema.select("table_name", "column_name", F.col("type_text").alias("_t"), F.col("is_primary_key").alias("_k"))
     r = record_columns.join(s, ["table_name", "column_name"], "left")
-    problem = F.when(F.col("_t").isNull(), "missing").when(F.upper("_t") != F.upper("type_text"), "type").when(F.col("_k") != F.col("is_primary_key"), "key")
+    if watched is not None:
+        shown = watched.select("table_name", "column_name").distinct().withColumn("_w", F.lit(True))
+        r = r.join(shown, ["table_name", "column_name"], "left")
+    hidden = F.col("_w").isNull() if watched is not None else F.lit(False)
+    wrong = F.raise_error(F.concat(F.lit("primary key data is incorrect: "), "table_name", F.lit("."), "column_name")).cast("string")
+    problem = F.when(F.col("_t").isNull(), "missing").when(hidden, "unwatched").when(F.col("_k") != F.col("is_primary_key"), wrong).when(F.upper("_t") != F.upper("type_text"), "type")
     return r.select("table_name", "column_name", problem.alias("problem")).where("problem IS NOT NULL")
 
 

@@ -24,6 +24,43 @@ def fresh(log: DataFrame, current: int, last_received: int) -> DataFrame:
     return log.where(~stale)
 
 
+def current_rebalances(events: DataFrame, generation: int, last_received: int) -> DataFrame:
+    """Rebalance events (generation, ...) that are not stale: of the current generation and the last received one, or later."""
+    return events.where((F.col("generation") >= generation) & (F.col("generation") >= last_received))
+
+
+def epoch_offsets(log: DataFrame, every_us: int, time: str) -> DataFrame:
+    """slot, epoch_offset: what a leader publishes every so often as the place where the next reader begins, the latest epoch message by
+    then."""
+    epochs = log.where(F.col("message_type").isin(*EPOCHS))
+    return epochs.groupBy(F.floor(F.col(time) / every_us).cast("long").alias("slot")).agg(F.max("log_offset").alias("epoch_offset"))
+
+
+WIRE = "task_uid string, consumer_id string, message_type string, generation long, state_ts long"
+
+
+def to_wire(messages: DataFrame) -> DataFrame:
+    """log_offset, key (the task), value (the message as JSON text)."""
+    names = [f.split()[0] for f in WIRE.split(", ")]
+    return messages.select("log_offset", F.col("task_uid").alias("key"), F.to_json(F.struct(*names)).alias("value"))
+
+
+def from_wire(log: DataFrame) -> DataFrame:
+    """Messages from what to_wire made; text that is no message raises."""
+    m = log.select("log_offset", F.from_json("value", WIRE, {"mode": "FAILFAST"}).alias("_m"))
+    return m.select("log_offset", "_m.*")
+
+
+def publish(messages: DataFrame, path: str) -> None:
+    """Append messages to the log at path, a task's in one file each."""
+    to_wire(messages).repartition("key").sortWithinPartitions("log_offset").write.mode("append").parquet(path)
+
+
+def initialised(log: DataFrame, upto: int) -> bool:
+    """Whether a reader that has seen the log to `upto` may begin: an epoch has been announced by then."""
+    return log.where(F.col("message_type").isin(*EPOCHS) & (F.col("log_offset") <= upto)).limit(1).count() > 0
+
+
 def latest_states(log: DataFrame) -> DataFrame:
     """Each task's newest message: the latest state_ts; of equal ones the earlier in the log stays."""
     newest = F.struct("state_ts", (-F.col("log_offset")).alias("_o"))
@@ -89,6 +126,6 @@ def coalesced(log: DataFrame, window_us: int, time: str) -> DataFrame:
     return last.select("task_uid", *[F.col(f"_x.{c}").alias(c) for c in rest]).unionByName(log.where("message_type <> 'REGULAR'").select("task_uid", *rest))
 
 
-def rebalance_bursts(events: DataFrame, gap: str = "1 second", time: str = "ts") -> DataFrame:
-    """Rebalance events that a delay, started anew by each, would join to one action: starts and sizes of the bursts."""
-    return events.groupBy(F.session_window(time, gap).alias("w")).agg(F.count("*").alias("events")).select(F.col("w.start").alias("started"), "events")
+def rebalance_bursts(events: DataFrame, gap: str = "1 second", time: str = "ts", *by: str) -> DataFrame:
+    """Rebalance events that a delay, started anew by each, would join to one action: starts and sizes of the bursts, by group."""
+    return events.groupBy(*by, F.session_window(time, gap).alias("w")).agg(F.count("*").alias("events")).select(*by, F.col("w.start").alias("started"), "events")

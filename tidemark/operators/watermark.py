@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .decode import ROOT
+from .envelope import stamp_source
 from .lineage import in_progress
 
 
@@ -38,10 +39,15 @@ def monotone(watermarks: DataFrame, by: str, order: str, value: str = "low_water
     return watermarks.withColumn("monotone", F.max(value).over(w))
 
 
-def stamps(tables: DataFrame, output_partitions: int, watermark_ms: Column, prefix: str = "cdc") -> DataFrame:
-    """An m record for each table and output partition. tables: table_name, as many as are captured."""
+def stamps(tables: DataFrame, output_partitions: int, watermark_ms: Column, stream: dict[str, str], prefix: str = "cdc") -> DataFrame:
+    """An m record for each table and output partition: topic, output_partition, op, source. tables: table_name, as many as are captured."""
     each = tables.withColumn("output_partition", F.explode(F.sequence(F.lit(0), F.lit(output_partitions - 1))))
     return each.select(
         F.concat_ws(".", F.lit(prefix), "table_name").alias("topic"), F.col("output_partition").cast("long").alias("output_partition"), F.lit("m").alias("op"),
-        F.col("table_name").alias("source_table"), watermark_ms.alias("source_low_watermark"),
+        stamp_source(stream, F.col("table_name"), watermark_ms).alias("source"),
     )
+
+
+def stamp_times(start_us: int, end_us: int, period_ms: int = 10_000) -> list[int]:
+    """When a publisher that began at start stamps, to end (microseconds): every period, not before the first is over."""
+    return list(range(start_us + period_ms * 1000, end_us + 1, period_ms * 1000))

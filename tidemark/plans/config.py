@@ -8,7 +8,8 @@ from dataclasses import dataclass
 from datetime import datetime
 from pathlib import Path
 
-CAPTURE_MODES = ("OLD_AND_NEW_VALUES", "NEW_VALUES", "NEW_ROW", "NEW_ROW_AND_OLD_VALUES")
+#: Fixed value: the capture mode that a reader may be set to (records of all four are decoded).
+CAPTURE_MODES = ("OLD_AND_NEW_VALUES",)
 _INSTANT = re.compile(r"\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d(\.\d{1,9})?Z")
 
 

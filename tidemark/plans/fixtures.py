@@ -1,6 +1,7 @@
 """Change-stream tables made from the TPC-H-like ones: one SQL text for Spark and DuckDB.
 
-US(x) is a timestamp's microseconds, DIV(a, b) whole division, IDS(a, b) a table of id from a to b - 1.
+US(x) is a timestamp's microseconds, DIV(a, b) whole division, IDS(a) a table of id from a on, as many as there are events: so
+partitions, their lineage, claims and offsets grow with the tables.
 """
 
 from __future__ import annotations
@@ -31,21 +32,21 @@ SELECT concat('task', CAST(id % 5 AS STRING)) AS task_uid, CASE WHEN id % 7 = 0
   concat('n', CAST(id AS STRING)) AS token, CAST(id % 6 AS BIGINT) AS state_ord, {BASE_US} + id * 1000000 AS start_us,
   CASE WHEN id % 6 >= 4 THEN {BASE_US} + id * 2000000 END AS finished_us,
   CASE WHEN id % 7 = 0 THEN concat('task', CAST((id + 1) % 6 AS STRING)) END AS assignee
-FROM IDS(1, 4096)"""
+FROM IDS(1)"""
 
 EDGES = """
-SELECT concat('n', CAST(id AS STRING)) AS token, concat('n', CAST(DIV(id, 2) AS STRING)) AS parent FROM IDS(2, 4096)
-UNION ALL SELECT concat('n', CAST(id AS STRING)) AS token, concat('n', CAST(DIV(id, 2) + 1 AS STRING)) AS parent FROM IDS(2, 4096) WHERE id % 5 = 0"""
+SELECT concat('n', CAST(id AS STRING)) AS token, concat('n', CAST(DIV(id, 2) AS STRING)) AS parent FROM IDS(2)
+UNION ALL SELECT concat('n', CAST(id AS STRING)) AS token, concat('n', CAST(DIV(id, 2) + 1 AS STRING)) AS parent FROM IDS(2) WHERE id % 5 = 0"""
 
 #: A few partitions that two tasks claim, as after a split brain.
 CLAIMS = f"""
 SELECT * FROM ({PARTITIONS}) q WHERE true UNION ALL
 SELECT concat('task', CAST((id + 2) % 5 AS STRING)), 'shared', concat('n', CAST(id AS STRING)), CAST((id + 1) % 6 AS BIGINT), {BASE_US} + id * 1000000, NULL,
-  concat('task', CAST(id % 4 AS STRING)) FROM IDS(1, 4096) WHERE id % 11 = 0"""
+  concat('task', CAST(id % 4 AS STRING)) FROM IDS(1) WHERE id % 11 = 0"""
 
 OFFSETS = f"""
 SELECT concat('n', CAST(id AS STRING)) AS token, CASE id % 4 WHEN 0 THEN NULL WHEN 1 THEN {BASE_US} + id * 1000000 - 1000000 ELSE {BASE_US} + id * 1000000 + id * 1000 END AS offset_us
-FROM IDS(1, 4096) WHERE id % 9 <> 0"""
+FROM IDS(1) WHERE id % 9 <> 0"""
 
 SYNC = """
 SELECT event_id AS log_offset, concat('task', CAST(user_id % 64 AS STRING)) AS task_uid, concat('consumer', CAST(user_id % 64 AS STRING)) AS consumer_id,
@@ -72,15 +73,19 @@ SELECT * FROM (VALUES ('users', 'user_id', 'PRIMARY_KEY'), ('orders_cdc', 'user_
 ALL = {"changes": CHANGES, "partitions": PARTITIONS, "edges": EDGES, "claims": CLAIMS, "offsets": OFFSETS, "sync_log": SYNC, "streams": STREAMS, "schemas": SCHEMAS, "key_columns": KEYS}
 
 
+def _ids(sql: str) -> str:
+    return re.sub(r"\bIDS\((\d+)\)", r"(SELECT event_id + 1 AS id FROM events WHERE event_id + 1 >= \1) ids", sql)
+
+
 def for_duckdb(sql: str) -> str:
     sql = re.sub(r"\bUS\(", "epoch_us(", sql)
-    sql = re.sub(r"\bIDS\((\d+), (\d+)\)", r"(SELECT range AS id FROM range(\1, \2)) ids", sql)
+    sql = _ids(sql)
     return re.sub(r"\bDIV\(((?:[^(),]|\([^()]*\))+), (\d+)\)", r"((\1) // \2)", sql)
 
 
 def for_spark(sql: str) -> str:
     sql = re.sub(r"\bUS\((\w+)\)", r"unix_micros(CAST(\1 AS TIMESTAMP))", sql)
-    sql = re.sub(r"\bIDS\(", "range(", sql)
+    sql = _ids(sql)
     sql = re.sub(r"\bDIV\(((?:[^(),]|\([^()]*\)|\((?:[^()]|\([^()]*\))*\))+), (\d+)\)", r"((\1) div \2)", sql)
     return sql.replace(" // 1000", " div 1000")
 

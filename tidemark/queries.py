@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .functions import scalars
@@ -34,17 +34,20 @@ def query(sql: str | None = None):
     return take
 
 
-def wire(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The changes as the wire has them: partition_token, commit_us and a record as JSON text, integers as strings."""
-    c = fixture(spark, sf_dir, "changes")
+def data_record() -> Column:
+    """The wire's struct of a row of changes, integers as strings."""
     user, text = F.col("user_id").cast("string"), lambda v: F.when(v.isNotNull(), F.create_map(F.lit("value"), v.cast("string")))
     mod = F.struct(F.create_map(F.lit("user_id"), user).alias("keys"), text(F.col("old_value")).alias("old_values"), text(F.col("value")).alias("new_values"))
-    record = F.struct(F.struct(
+    return F.struct(F.struct(
         F.concat(F.date_format(F.timestamp_micros("commit_us"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lpad(F.col("commit_nanos").cast("string"), 3, "0"), F.lit("Z")).alias("commit_timestamp"),
         "record_sequence", F.col("txn_id").alias("server_transaction_id"), F.col("is_last").alias("is_last_record_in_transaction_in_partition"), "table_name",
         F.array(mod).alias("mods"), "mod_type", F.col("capture_type").alias("value_capture_type"), F.col("n_records").alias("number_of_records_in_transaction"),
     ).alias("data_change_record"))
-    return c.select("partition_token", "commit_us", F.to_json(record).alias("record"))
+
+
+def wire(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The changes as the wire has them: partition_token, commit_us and a record as JSON text."""
+    return fixture(spark, sf_dir, "changes").select("partition_token", "commit_us", F.to_json(data_record()).alias("record"))
 
 
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -118,10 +121,10 @@ def cdc_inserts_last(spark, sf_dir):
     return e.select("ts_us", F.lit("insert").alias("kind"), "key.user_id", "after.value")
 
 
-@query("""SELECT count(*) AS n, min(k) AS least, max(k) AS most FROM (SELECT user_id, min(commit_us) AS k FROM changes GROUP BY user_id)""")
+@query("SELECT user_id, min(commit_us) AS first_us, arg_min(value, commit_us) FILTER (value IS NOT NULL) AS first_value FROM changes WHERE mod_type <> 'DELETE' GROUP BY user_id")
 def cdc_first_per_key(spark, sf_dir):
-    e = envelope.envelope(mods(spark, sf_dir), USERS, ["user_id"], STREAM)
-    return e.groupBy("key.user_id").agg(F.min("ts_us").alias("k")).agg(F.count("*").alias("n"), F.min("k").alias("least"), F.max("k").alias("most"))
+    e = envelope.envelope(mods(spark, sf_dir), USERS, ["user_id"], STREAM).where("op <> 'd'")
+    return e.groupBy("key.user_id").agg(F.min("ts_us").alias("first_us"), F.min_by("after.value", F.when(F.col("after.value").isNotNull(), F.col("ts_us"))).alias("first_value"))
 
 
 @query("SELECT partition_token, txn_id, record_sequence, user_id FROM changes WHERE table_name = 'users'")
@@ -161,9 +164,11 @@ def decode_unknown_enums(spark, sf_dir):
     return d.select("data.mod_type", F.col("data.value_capture_type").alias("capture_type"), F.size("data.mods").alias("mods"), "k.sec", "k.nanos")
 
 
-@query("SELECT * FROM (VALUES ('p1', 'c1', 'p1'), ('p1', 'c2', 'p1,q'), ('Parent0', 'c1', 'Parent0'), ('Parent0', 'c2', 'Parent0,q')) AS t(origin, token, parents)")
+@query("""SELECT * FROM (VALUES ('p1', 'c1', 'p1', '2024-01-01T00:00:12Z', 'end of p1'), ('p1', 'c2', 'p1,q', '2024-01-01T00:00:12Z', 'end of p1'),
+('Parent0', 'c1', 'Parent0', '2024-01-01T00:00:12Z', NULL), ('Parent0', 'c2', 'Parent0,q', '2024-01-01T00:00:12Z', NULL)) AS t(origin, token, parents, start_time, end_time)""")
 def decode_child_partitions(spark, sf_dir):
-    return decode.children(_kinds(spark)).select("origin", "token", F.array_join("parents", ",").alias("parents"))
+    read = _kinds(spark).withColumn("until", F.when(F.col("partition_token") == "p1", F.lit("end of p1")))
+    return decode.children(read, "until").select("origin", "token", F.array_join("parents", ",").alias("parents"), F.col("start").alias("start_time"), F.col("end").alias("end_time"))
 
 
 @query("SELECT capture_type, count(*) AS n, count(old_value) AS old, CAST(sum(CASE WHEN value IS NULL THEN 0 ELSE 1 END) AS BIGINT) AS new FROM changes GROUP BY ALL")
@@ -185,17 +190,24 @@ def decode_positional_values(spark, sf_dir):
     return d.select("event_id", F.col("m.keys")["user_id"].cast("long").alias("user_id"), F.col("m.new_values")["value"].cast("double").alias("value"), F.size("m.old_values").alias("olds"))
 
 
-@query("SELECT event_id, partition_token, commit_us FROM changes")
+@query("""SELECT 'data' AS record_type, 0 AS record_rank, event_id, partition_token, commit_us FROM changes WHERE event_id % 11 <> 0
+UNION ALL SELECT 'heartbeat', 1, event_id, partition_token, commit_us FROM changes WHERE event_id % 5 = 0
+UNION ALL SELECT 'child', 2, event_id, partition_token, commit_us FROM changes WHERE event_id % 7 = 0""")
 def decode_nested_rows(spark, sf_dir):
+    """Rows of three arrays: data records (of every eleventh event a null one), heartbeats of every fifth, children of every seventh."""
     c = fixture(spark, sf_dir, "changes")
-    kinds = decode.WIRE
-    j = F.from_json(F.col("record"), kinds)
-    w = wire(spark, sf_dir).join(c.select("event_id", "commit_us"), "commit_us").withColumn("w", j)
-    empty = lambda t: F.array().cast(f"array<{t}>")
-    rows = w.select("event_id", "partition_token", "commit_us", F.array(F.struct(
-        F.array("w.data_change_record").alias("data_change_record"), empty(decode.HEARTBEAT).alias("heartbeat_record"), empty(decode.CHILD).alias("child_partitions_record"))).alias("change_record"))
-    d = decode.decode_nested(rows)
-    return d.select("event_id", "partition_token", scalars.epoch_micros(F.col("data.commit_timestamp")).alias("commit_us"))
+    data = F.from_json(F.to_json(data_record()), decode.WIRE)["data_change_record"]
+    at, none = F.date_format(F.timestamp_micros("commit_us"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"), lambda t: F.array().cast(f"array<{t}>")
+    beat = F.struct(at.alias("timestamp"))
+    child = F.struct(at.alias("start_timestamp"), F.lit("1").alias("record_sequence"), F.array(F.struct(F.lit("c").alias("token"), F.array("partition_token").alias("parent_partition_tokens"))).alias("child_partitions"))
+    every = lambda n: F.col("event_id") % n == 0
+    rows = c.select("event_id", "partition_token", F.array(F.struct(
+        F.array(F.when(~every(11), data)).alias("data_change_record"),
+        F.when(every(5), F.array(beat)).otherwise(none(decode.HEARTBEAT)).alias("heartbeat_record"),
+        F.when(every(7), F.array(child)).otherwise(none(decode.CHILD)).alias("child_partitions_record"))).alias("change_record"))
+    d = decode.decode(rows, "google")
+    stamp = F.coalesce("data.commit_timestamp", "heartbeat.timestamp", "child.start_timestamp")
+    return d.select("record_type", "record_rank", "event_id", "partition_token", scalars.epoch_micros(stamp).alias("commit_us"))
 
 
 @query("SELECT table_name, count(*) AS n FROM changes WHERE table_name IN ('users', 'orders_cdc') GROUP BY ALL")
@@ -250,12 +262,14 @@ def schema_asof_events(spark, sf_dir):
     return schema.as_of_events(fixture(spark, sf_dir, "changes"), fixture(spark, sf_dir, "schemas"), "commit_us").select("event_id", F.col("schema_version").cast("long").alias("schema_version"))
 
 
-@query("""WITH s AS (SELECT * FROM schemas WHERE valid_from = 0), r AS (SELECT * FROM schemas WHERE valid_from > 0)
-SELECT r.table_name, r.column_name, CASE WHEN s.type_text IS NULL THEN 'missing' ELSE 'type' END AS problem FROM r LEFT JOIN s ON s.table_name = r.table_name AND s.column_name = r.column_name
-WHERE s.type_text IS NULL OR s.type_text <> r.type_text""")
+@query("""WITH s AS (SELECT * FROM schemas WHERE valid_from = 0), r AS (SELECT * FROM schemas WHERE valid_from > 0),
+w AS (SELECT s.table_name, s.column_name FROM s WHERE s.table_name = 'orders_cdc' OR s.table_name = 'users' AND s.column_name IN ('user_id', 'name', 'value'))
+SELECT r.table_name, r.column_name, CASE WHEN s.type_text IS NULL THEN 'missing' WHEN w.column_name IS NULL THEN 'unwatched' ELSE 'type' END AS problem
+FROM r LEFT JOIN s ON s.table_name = r.table_name AND s.column_name = r.column_name LEFT JOIN w ON w.table_name = r.table_name AND w.column_name = r.column_name
+WHERE s.type_text IS NULL OR w.column_name IS NULL OR s.type_text <> r.type_text""")
 def schema_validate(spark, sf_dir):
     s = schema.with_keys(fixture(spark, sf_dir, "schemas"), schema.key_scan(fixture(spark, sf_dir, "key_columns")))
-    return schema.validate(s.where("valid_from > 0"), s.where("valid_from = 0"))
+    return schema.validate(s.where("valid_from > 0"), s.where("valid_from = 0"), watched_projection(spark, sf_dir))
 
 
 @query("""SELECT s.table_name, s.column_name FROM schemas s WHERE valid_from = 0 AND (s.table_name = 'orders_cdc' OR s.table_name = 'users' AND s.column_name IN ('user_id', 'name', 'value'))""")
@@ -294,11 +308,32 @@ def low_watermark_root_override(spark, sf_dir):
     return watermark.low_watermark(p.unionByName(root), fixture(spark, sf_dir, "offsets"))
 
 
-@query(f"""SELECT 'cdc.' || table_name AS topic, p AS output_partition, 'm' AS op, table_name AS source_table, CAST({BASE_US // 1000} AS BIGINT) AS source_low_watermark
-FROM (SELECT DISTINCT table_name FROM changes) t, (SELECT range AS p FROM range(0, 4)) r""")
+_STAMP = """'cdc.' || table_name AS topic, p AS output_partition, 'm' AS op, 'p' AS project, 'i' AS instance, 'd' AS database, 's1' AS stream, table_name AS source_table,
+  CAST(NULL AS VARCHAR) AS txn_id, CAST(NULL AS BIGINT) AS ts_ms, CAST(NULL AS INTEGER) AS mod_number, CAST(NULL AS VARCHAR) AS source_token"""
+
+
+def _stamped(stamps: DataFrame) -> DataFrame:
+    s = lambda n, to: F.col(f"source.{n}").alias(to)
+    return stamps.select("topic", "output_partition", "op", s("project_id", "project"), s("instance_id", "instance"), s("database_id", "database"), s("change_stream_name", "stream"), s("table", "source_table"),
+                         s("server_transaction_id", "txn_id"), s("ts_ms", "ts_ms"), s("mod_number", "mod_number"), s("partition_token", "source_token"), s("low_watermark", "source_low_watermark"))
+
+
+@query(f"SELECT {_STAMP}, CAST({BASE_US // 1000} AS BIGINT) AS source_low_watermark FROM (SELECT DISTINCT table_name FROM changes) t, (SELECT range AS p FROM range(0, 4)) r")
 def watermark_stamps_cross(spark, sf_dir):
     tables = fixture(spark, sf_dir, "changes").select("table_name").distinct()
-    return watermark.stamps(tables, 4, F.lit(BASE_US // 1000).cast("long"))
+    return _stamped(watermark.stamps(tables, 4, F.lit(BASE_US // 1000).cast("long"), STREAM))
+
+
+@query(f"""SELECT at_ms, {_STAMP}, at_ms - 5000 AS source_low_watermark FROM (SELECT DISTINCT table_name FROM changes) t, (SELECT range AS p FROM range(0, 2)) r,
+(SELECT {BASE_US // 1000} + range * 10000 AS at_ms FROM range(1, 7)) m""")
+def watermark_stamps_on_a_cadence(spark, sf_dir):
+    """What a publisher sends in a minute, one stamp for each period of ten seconds, table and output partition."""
+    tables = fixture(spark, sf_dir, "changes").select("table_name").distinct()
+    out = None
+    for at in watermark.stamp_times(BASE_US, BASE_US + 60_000_000):
+        one = _stamped(watermark.stamps(tables, 2, F.lit(at // 1000 - 5000).cast("long"), STREAM)).withColumn("at_ms", F.lit(at // 1000).cast("long"))
+        out = one if out is None else out.union(one)
+    return out
 
 
 @query("""SELECT partition_token, commit_us - event_id % 5 * 1000000 AS low_watermark_us, event_id,
@@ -344,7 +379,7 @@ def removable_partitions(spark, sf_dir):
 @query("""WITH RECURSIVE d AS (SELECT DISTINCT parent AS token, CAST(0 AS BIGINT) AS depth FROM edges WHERE parent NOT IN (SELECT token FROM edges)
 UNION SELECT e.token, depth + 1 FROM edges e JOIN d ON d.token = e.parent) SELECT token, max(depth) AS depth FROM d GROUP BY token""")
 def lineage_depth(spark, sf_dir):
-    return lineage.depths(spark, fixture(spark, sf_dir, "edges"))
+    return lineage.depths(fixture(spark, sf_dir, "edges"))
 
 
 @query("""SELECT token, parent AS origin, (row_number() OVER (PARTITION BY parent ORDER BY token) - 1) // 200 AS batch FROM (SELECT token, 'Parent0' AS parent FROM edges UNION ALL SELECT token, parent FROM edges)""")
@@ -473,10 +508,11 @@ def merged_states(spark, sf_dir):
     return syncfold.merged(start, log.where("log_offset >= 50")).select("task_uid", "log_offset", "state_ts")
 
 
-@query("SELECT 'NEW_EPOCH' AS kind, count(*) AS n FROM (SELECT DISTINCT task_uid FROM sync_log) UNION ALL SELECT 'REGULAR', count(DISTINCT task_uid) FROM sync_log WHERE task_uid = 'task5'")
+@query("""WITH l AS (SELECT * FROM sync_log WHERE log_offset >= 500), s AS (SELECT task_uid, log_offset FROM (SELECT *, row_number() OVER (PARTITION BY task_uid ORDER BY state_ts DESC, log_offset) AS n FROM l) WHERE n = 1)
+SELECT 'NEW_EPOCH' AS kind, task_uid, log_offset FROM s UNION ALL SELECT 'REGULAR', task_uid, log_offset FROM s WHERE task_uid = 'task5'""")
 def sync_messages(spark, sf_dir):
-    s = syncfold.latest_states(syncfold.from_offset(fixture(spark, sf_dir, "sync_log"), 0))
-    n = lambda k: syncfold.message(s, k, "task5").agg(F.lit(k).alias("kind"), F.count("*").alias("n"))
+    s = syncfold.latest_states(syncfold.from_offset(fixture(spark, sf_dir, "sync_log"), 500))
+    n = lambda k: syncfold.message(s, k, "task5").select(F.lit(k).alias("kind"), "task_uid", "log_offset")
     return n("NEW_EPOCH").union(n("REGULAR"))
 
 
@@ -507,7 +543,23 @@ def rebalance_greedy(spark, sf_dir):
     return rebalance.greedy(fixture(spark, sf_dir, "claims"), "task0", alive)
 
 
-@query()
+_EQUAL = """WITH alive AS (SELECT unnest(['task0', 'task1', 'task2']) AS t), stay AS (SELECT * FROM claims WHERE task_uid IN (SELECT t FROM alive)), gone AS (SELECT * FROM claims WHERE task_uid NOT IN (SELECT t FROM alive)),
+owned AS (SELECT token FROM stay WHERE kind = 'owned'), spoken AS (SELECT * FROM stay WHERE kind = 'shared' AND assignee IN (SELECT t FROM alive)),
+one AS (SELECT DISTINCT 'owned' AS kind, token, CAST(4 AS BIGINT) AS state_ord, CAST(NULL AS VARCHAR) AS assignee FROM gone WHERE kind = 'owned' AND state_ord = 4 AND token NOT IN (SELECT token FROM owned)),
+two AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY token ORDER BY state_ord, task_uid) AS n FROM gone WHERE kind = 'shared' AND assignee IN (SELECT t FROM alive)) WHERE n = 1
+  AND token NOT IN (SELECT token FROM owned UNION SELECT token FROM one UNION SELECT token FROM spoken)),
+lost AS (SELECT token, min(c) AS c FROM (SELECT token, 0 AS c FROM gone WHERE kind = 'shared' UNION ALL SELECT token, 1 FROM stay WHERE kind = 'shared' AND assignee NOT IN (SELECT t FROM alive)
+  UNION ALL SELECT token, 2 FROM gone WHERE kind = 'owned' AND state_ord NOT IN (4, 5)) WHERE token NOT IN (SELECT token FROM owned UNION SELECT token FROM one UNION SELECT token FROM spoken UNION SELECT token FROM two) GROUP BY token),
+held AS (SELECT task_uid AS t, token FROM stay WHERE kind = 'owned' AND state_ord NOT IN (4, 5) UNION SELECT assignee, token FROM spoken UNION SELECT assignee, token FROM two),
+loads AS (SELECT alive.t, count(token) AS load FROM alive LEFT JOIN held ON held.t = alive.t GROUP BY alive.t),
+places AS (SELECT t, row_number() OVER (ORDER BY load + k, t <> 'task0', t) AS n FROM loads, (SELECT range AS k FROM range(0, 200000)) WHERE k < (SELECT count(*) FROM lost)),
+given AS (SELECT token, t FROM (SELECT token, row_number() OVER (ORDER BY c, token) AS n FROM lost) l JOIN places ON places.n = l.n),
+fresh AS (SELECT * FROM one UNION ALL SELECT CASE WHEN assignee = 'task0' THEN 'owned' ELSE 'shared' END, token, state_ord, nullif(assignee, 'task0') FROM two
+  UNION ALL SELECT CASE WHEN t = 'task0' THEN 'owned' ELSE 'shared' END, token, 0, nullif(t, 'task0') FROM given),
+mine AS (SELECT kind, token, state_ord, assignee FROM stay WHERE task_uid = 'task0' AND (kind = 'owned' OR assignee IN (SELECT t FROM alive)) UNION ALL SELECT * FROM fresh)"""
+
+
+@query(f"""{_EQUAL} SELECT 'task0' AS task_uid, kind, token, state_ord, assignee FROM mine WHERE kind = 'owned' OR token NOT IN (SELECT token FROM mine WHERE kind = 'owned')""")
 def rebalance_equal_sharing(spark, sf_dir):
     return rebalance.share_equally(fixture(spark, sf_dir, "claims"), "task0", ["task0", "task1", "task2"])
 
@@ -521,11 +573,12 @@ def resume_position(spark, sf_dir):
     return p.select("token", scalars.resume_position(F.col("offset_us"), F.col("start_us")).alias("resume_us"))
 
 
-@query("""WITH t AS (SELECT *, row_number() OVER (PARTITION BY partition_token ORDER BY commit_us) - 1 AS n FROM changes)
-SELECT partition_token, count(*) AS records, 'aaaaa' || chr(97 + CAST(max(n) // 676 % 26 AS INTEGER)) || chr(97 + CAST(max(n) // 26 % 26 AS INTEGER)) || chr(97 + CAST(max(n) % 26 AS INTEGER)) AS last_uid FROM t GROUP BY partition_token""")
+@query(f"""SELECT partition_token, event_id, {_UID} AS record_uid FROM
+(SELECT partition_token, event_id, row_number() OVER (PARTITION BY partition_token ORDER BY commit_us, commit_nanos, record_sequence, txn_id) - 1 AS n FROM changes)""")
 def record_uid_sequence(spark, sf_dir):
     m = envelope.with_record_uid(mods(spark, sf_dir))
-    return m.groupBy("partition_token").agg(F.count("*").alias("records"), F.max("record_uid").alias("last_uid"))
+    place = F.col("data.record_sequence").cast("long") + 4 * F.substr("data.server_transaction_id", F.lit(3)).cast("long")
+    return m.select("partition_token", place.alias("event_id"), "record_uid")
 
 
 @query("""WITH r AS (SELECT partition_token AS token, max(event_id) AS last_record, max(CASE WHEN publish_ms IS NOT NULL THEN event_id END) AS last_ack FROM changes GROUP BY ALL)
@@ -555,13 +608,22 @@ def latency_statistics(spark, sf_dir):
 
 @query("""SELECT table_name, round(quantile_cont(value, 0.5), 6) AS p50, round(quantile_cont(value, 0.95), 6) AS p95, round(quantile_cont(value, 0.99), 6) AS p99 FROM changes GROUP BY ALL""")
 def latency_quantiles_exact(spark, sf_dir):
-    q = metrics.quantiles(fixture(spark, sf_dir, "changes"), "value", "table_name", exact=True)
+    q = metrics.quantiles(fixture(spark, sf_dir, "changes"), "value", "table_name")
     return q.select("table_name", *[F.round(p, 6).alias(p) for p in ("p50", "p95", "p99")])  # the last bits differ by engine
 
 
-@query()
+@query("""WITH n AS (SELECT table_name, commit_us // 864000000000 AS interval, value FROM changes WHERE value IS NOT NULL)
+SELECT table_name, interval, count(*) AS values, true AS close FROM n GROUP BY ALL""")
 def latency_quantiles_approx(spark, sf_dir):
-    return metrics.quantiles(fixture(spark, sf_dir, "changes"), "value", "table_name")
+    """Sketched p50, p95 and p99 of each interval of ten days, each within one hundredth of the value of its rank."""
+    c = fixture(spark, sf_dir, "changes").select("table_name", "commit_us", "value")
+    q = metrics.quantiles_by_interval(c, "value", "commit_us", 864_000_000_000, "table_name")
+    inner = c.where("value IS NOT NULL").groupBy("table_name", F.floor(F.col("commit_us") / 864_000_000_000).cast("long").alias("interval"))
+    exact = inner.agg(F.count("*").alias("values"), F.sort_array(F.collect_list("value")).alias("v"))
+    rank = lambda p: F.get("v", F.floor(F.lit(p) * (F.col("values") - 1)).cast("int"))
+    near = lambda p, name: F.abs(F.col(name) - rank(p)) <= 0.01000001 * F.abs(rank(p))
+    both = q.join(exact, ["table_name", "interval"])
+    return both.select("table_name", "interval", "values", (near(0.5, "p50") & near(0.95, "p95") & near(0.99, "p99")).alias("close"))
 
 
 @query(f"SELECT event_id, {NOW_US // 1000} - commit_ms AS lag FROM changes WHERE {NOW_US // 1000} - commit_ms > 500000000")
@@ -591,71 +653,89 @@ def scale_decision(spark, sf_dir):
     return spark.createDataFrame([(i, metrics.scale(c, d, least, most, w, idle)) for i, c, d, most, least, w, idle in rows], "id int, tasks int")
 
 
-@query("""SELECT CAST(event_type AS VARCHAR) AS name, sum(value) FILTER (event_type = 'click') IS NOT NULL AS summed, count(*) FILTER (event_type <> 'click') AS times, arg_max(value, event_id) AS last FROM events GROUP BY event_type""")
+@query("""SELECT event_type AS name, sum(CAST(round(value * 100) AS BIGINT)) FILTER (event_type = 'click') AS total, count(*) FILTER (event_type <> 'click') AS times, arg_max(CAST(round(value * 100) AS BIGINT), event_id) AS last,
+string_agg(DISTINCT 'table' || user_id % 5, ',' ORDER BY 'table' || user_id % 5) AS names FROM events GROUP BY event_type""")
 def metric_counters(spark, sf_dir):
     e = spark.read.parquet(f"{sf_dir}/events.parquet")
     kind = F.when(F.col("event_type") == "click", "sum").otherwise("count")
-    c = metrics.counters(e.select(F.col("event_type").alias("name"), kind.alias("kind"), "value", F.lit(None).cast("string").alias("text"), F.col("event_id").alias("at")))
-    return c.select("name", F.col("total").isNotNull().alias("summed"), "times", "last")
+    table = F.concat(F.lit("table"), (F.col("user_id") % 5).cast("string"))
+    c = metrics.counters(e.select(F.col("event_type").alias("name"), kind.alias("kind"), F.round(F.col("value") * 100).cast("long").alias("value"), table.alias("text"), F.col("event_id").alias("at")))
+    return c.select("name", "total", "times", "last", F.array_join("names", ",").alias("names"))
 
 
 # ---------------------------------------------------------------- bulk: one record for each order
 
 
+LINES = {"l_orderkey": ColumnType("INT64"), "l_partkey": ColumnType("INT64"), "l_quantity": ColumnType("FLOAT64")}
+
+
 def _order_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Records with many mods: an order's lineitems, numbered within the order."""
+    """Records with many mods: an order's lineitems, deletes of returned ones and inserts of the others; partition_token, record."""
     line = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select("l_orderkey", "l_partkey", "l_quantity", "l_returnflag")
-    mod = F.struct("l_partkey", "l_quantity", "l_returnflag")
-    return line.groupBy("l_orderkey").agg(F.sort_array(F.collect_list(mod)).alias("mods"), F.count("*").alias("declared"))
+    text = lambda n: F.create_map(F.lit(n), F.col(n).cast("string"))
+    none, gone = F.lit(None).cast("map<string,string>"), F.col("l_returnflag") == "R"
+    mod = F.struct(F.map_concat(text("l_orderkey"), text("l_partkey")).alias("keys"), F.when(gone, text("l_quantity")).otherwise(none).alias("old_values"), F.when(~gone, text("l_quantity")).otherwise(none).alias("new_values"))
+    mods_ = F.sort_array(F.collect_list(F.struct("l_partkey", "l_quantity", "l_returnflag", mod.alias("mod"))))
+    one = line.groupBy("l_orderkey", gone.alias("gone")).agg(F.transform(mods_, lambda x: x["mod"]).alias("mods"))
+    record = F.struct(F.struct(
+        F.lit("2024-01-01T00:00:00Z").alias("commit_timestamp"), F.when(F.col("gone"), "1").otherwise("0").alias("record_sequence"), F.col("l_orderkey").cast("string").alias("server_transaction_id"),
+        F.lit("lineitem").alias("table_name"), "mods", F.when(F.col("gone"), "DELETE").otherwise("INSERT").alias("mod_type"), F.lit("OLD_AND_NEW_VALUES").alias("value_capture_type"),
+    ).alias("data_change_record"))
+    return one.select(F.concat(F.lit("p"), (F.col("l_orderkey") % 8).cast("string")).alias("partition_token"), F.to_json(record).alias("record"))
 
 
-@query("""SELECT l_orderkey, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_partkey, l_quantity, l_returnflag) - 1 AS mod_number, l_partkey, l_quantity,
-CASE WHEN l_returnflag = 'R' THEN 'd' ELSE 'c' END AS op FROM lineitem""")
+@query("""SELECT 'cdc.lineitem' AS topic, l_orderkey, l_partkey, row_number() OVER (PARTITION BY l_orderkey, l_returnflag = 'R' ORDER BY l_partkey, l_quantity, l_returnflag) - 1 AS mod_number,
+CASE WHEN l_returnflag = 'R' THEN 'd' ELSE 'c' END AS op, CASE WHEN l_returnflag = 'R' THEN l_quantity END AS before_quantity, CASE WHEN l_returnflag <> 'R' THEN l_quantity END AS after_quantity FROM lineitem""")
 def order_change_mods(spark, sf_dir):
-    r = _order_records(spark, sf_dir).select("l_orderkey", F.posexplode("mods").alias("pos", "mod"))
-    op = envelope.operation(F.when(F.col("mod.l_returnflag") == "R", "DELETE").otherwise("INSERT"))
-    return r.select("l_orderkey", F.col("pos").cast("long").alias("mod_number"), "mod.l_partkey", "mod.l_quantity", op.alias("op"))
+    m = envelope.explode_mods(decode.decode_json(_order_records(spark, sf_dir)))
+    number = F.col("mod_number").cast("long")
+    e = envelope.envelope(m.withColumn("number", number), LINES, ["l_orderkey", "l_partkey"], STREAM)
+    return e.select("topic", "key.l_orderkey", "key.l_partkey", F.col("number").alias("mod_number"), "op", F.col("before.l_quantity").alias("before_quantity"), F.col("after.l_quantity").alias("after_quantity"))
 
 
 @query("""SELECT txn_id, max(n_records) AS declared, count(*) AS received, max(n_records) = count(*) AS complete FROM changes WHERE table_name <> 'audit' GROUP BY txn_id""")
 def txn_completeness(spark, sf_dir):
-    c = fixture(spark, sf_dir, "changes").where(envelope.table_filter(F.col("table_name"), exclude="audit"))  # what a filtered reader receives
-    t = c.groupBy("txn_id").agg(F.max("n_records").alias("declared"), F.count("*").alias("received"))
+    m = mods(spark, sf_dir, exclude="audit").where("mod_number = 0")  # the records that a filtered reader receives
+    t = m.groupBy(F.col("data.server_transaction_id").alias("txn_id")).agg(F.max("data.number_of_records_in_transaction").alias("declared"), F.count("*").alias("received"))
     return t.withColumn("complete", F.col("declared") == F.col("received"))
 
 
-@query("""SELECT o_orderpriority, count(*) AS orders, CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS BIGINT) AS cents, max(o_orderkey) AS last FROM orders GROUP BY ALL""")
-def order_topics(spark, sf_dir):
-    o = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_orderpriority", "o_totalprice")
-    return o.groupBy("o_orderpriority").agg(F.count("*").alias("orders"), F.sum(F.round(F.col("o_totalprice") * 100).cast("long")).alias("cents"), F.max("o_orderkey").alias("last"))
+@query("""SELECT CASE WHEN l_returnflag = 'R' THEN 'd' ELSE 'c' END AS op, count(*) AS mods, count(DISTINCT l_orderkey) AS records, CAST(max(n) - 1 AS INTEGER) AS last_mod FROM
+(SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_returnflag = 'R') AS n FROM lineitem) GROUP BY 1""")
+def order_record_sizes(spark, sf_dir):
+    m = envelope.explode_mods(decode.decode_json(_order_records(spark, sf_dir)))
+    g = m.groupBy(envelope.operation(F.col("data.mod_type")).alias("op"))
+    return g.agg(F.count("*").alias("mods"), F.count_distinct("data.server_transaction_id").alias("records"), F.max("mod_number").cast("int").alias("last_mod"))
 
 
 @query("""SELECT user_id, min(commit_us) AS started, count(*) AS events FROM (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY commit_us) AS burst FROM
 (SELECT *, CASE WHEN commit_us - lag(commit_us) OVER (PARTITION BY user_id ORDER BY commit_us) < 600000000 THEN 0 ELSE 1 END AS fresh FROM changes)) GROUP BY user_id, burst""")
 def rebalance_debounce(spark, sf_dir):
     c = fixture(spark, sf_dir, "changes").select("user_id", F.timestamp_micros("commit_us").alias("ts"))
-    b = c.groupBy("user_id", F.session_window("ts", "10 minutes").alias("w")).agg(F.count("*").alias("events"))
-    return b.select("user_id", F.unix_micros("w.start").alias("started"), "events")
+    b = syncfold.rebalance_bursts(c, "10 minutes", "ts", "user_id")
+    return b.select("user_id", F.unix_micros("started").alias("started"), "events")
 
 
-@query("""WITH base AS (SELECT * EXCLUDE n FROM (SELECT *, row_number() OVER (PARTITION BY task_uid ORDER BY state_ts DESC, log_offset) AS n FROM sync_log WHERE log_offset < 300) WHERE n = 1),
-m AS (SELECT * EXCLUDE n FROM (SELECT *, row_number() OVER (PARTITION BY task_uid ORDER BY state_ts DESC, log_offset) AS n FROM sync_log WHERE log_offset BETWEEN 200 AND 400) WHERE n = 1),
+@query("""WITH cutoff AS (SELECT max(log_offset) AS m FROM sync_log), base AS (SELECT * EXCLUDE n FROM (SELECT *, row_number() OVER (PARTITION BY task_uid ORDER BY state_ts DESC, log_offset) AS n FROM sync_log, cutoff WHERE log_offset * 3 < m * 2) WHERE n = 1),
+m AS (SELECT * EXCLUDE n FROM (SELECT *, row_number() OVER (PARTITION BY task_uid ORDER BY state_ts DESC, log_offset) AS n FROM sync_log, cutoff WHERE log_offset * 2 > m) WHERE n = 1),
 b AS (SELECT *, 1 AS old FROM base WHERE task_uid IN (SELECT task_uid FROM m) UNION ALL SELECT *, 0 FROM m WHERE task_uid <> 'task5')
 SELECT task_uid, log_offset, state_ts FROM (SELECT *, row_number() OVER (PARTITION BY task_uid ORDER BY state_ts DESC, old DESC) AS n FROM b) WHERE n = 1""")
 def epoch_update(spark, sf_dir):
+    """The first two thirds of the log against its second half."""
     log = fixture(spark, sf_dir, "sync_log")
-    states, message = syncfold.latest_states(log.where("log_offset < 300")), syncfold.latest_states(log.where("log_offset BETWEEN 200 AND 400"))
+    log = log.crossJoin(log.agg(F.max("log_offset").alias("most")))  # one row
+    states, message = syncfold.latest_states(log.where("log_offset * 3 < most * 2")), syncfold.latest_states(log.where("log_offset * 2 > most"))
     return syncfold.epoch_update(states, message, "task5").select("task_uid", "log_offset", "state_ts")
 
 
-@query("SELECT count(DISTINCT token) AS tokens, 0 AS lost FROM claims WHERE NOT (task_uid IN ('task3', 'task4') AND kind = 'owned' AND state_ord = 5)")
+@query("""WITH c AS (SELECT token, bool_or(NOT (task_uid IN ('task3', 'task4') AND kind = 'owned' AND state_ord = 5)) AS lives FROM claims GROUP BY token),
+l AS (SELECT token FROM c WHERE lives) SELECT token, true AS known FROM l""")
 def new_epoch(spark, sf_dir):
+    """Every token but those that only gone tasks had removed is in the new epoch."""
     c = fixture(spark, sf_dir, "claims")
     answered = spark.createDataFrame([("c1", "task1"), ("c2", "task2")], "consumer_id string, task_uid string")
     out = rebalance.new_epoch(c, "task0", answered, answered.select("consumer_id"))
-    live = c.where("NOT (task_uid IN ('task3', 'task4') AND kind = 'owned' AND state_ord = 5)").select("token")
-    lost = live.join(out.select("token"), "token", "left_anti").select("token").distinct()
-    return live.agg(F.count_distinct("token").alias("tokens")).crossJoin(lost.agg(F.count("*").cast("int").alias("lost")))
+    return out.select("token").distinct().withColumn("known", F.lit(True))
 
 
 @query("""SELECT * FROM (VALUES ('end', 'a', '2024-01-01T00:00:02Z', false, '', ''), ('event', 'a', '2024-01-01T00:00:01Z', false, 'b', 'c,d'), ('start', 'x', '2024-01-01T00:00:00Z', true, '', ''),
@@ -680,8 +760,12 @@ def longest_stuck(spark, sf_dir):
     return p.agg(F.max("intervals").alias("longest"))
 
 
-@query("SELECT user_id, count(*) AS n, true AS one_partition FROM changes GROUP BY user_id")
+@query("SELECT user_id, count(*) AS n, true AS one_partition, true AS in_order FROM changes GROUP BY user_id")
 def key_order(spark, sf_dir):
     c = fixture(spark, sf_dir, "changes").select(F.col("user_id").alias("key"), F.col("commit_us").alias("ts_us"))
-    p = sink.by_key(c, 8).select("key", F.spark_partition_id().alias("p"))
-    return p.groupBy(F.col("key").alias("user_id")).agg(F.count("*").alias("n"), (F.count_distinct("p") == 1).alias("one_partition"))
+    p = sink.by_key(c, 8).select("key", "ts_us", F.spark_partition_id().alias("p"), F.monotonically_increasing_id().alias("row"))
+    p = p.withColumn("later", F.col("ts_us") >= F.coalesce(F.lag("ts_us").over(Window.partitionBy("key").orderBy("row")), F.col("ts_us")))
+    return p.groupBy(F.col("key").alias("user_id")).agg(F.count("*").alias("n"), (F.count_distinct("p") == 1).alias("one_partition"), F.bool_and("later").alias("in_order"))
+
+
+from . import task_queries  # noqa: E402, F401  (registers the rest)

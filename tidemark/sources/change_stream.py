@@ -1,8 +1,9 @@
 """Reading a change stream: a native scan, and a Python data source for batch and streaming.
 
 The log is Parquet with columns partition_token, commit_us and record (JSON text). One cursor reads one partition between two
-times; the root partition's token stands for none. A stream's position is a time: a batch holds all that lies between two
-positions, a heartbeat for every partition that was silent, and at most max_rows rows, unless one time has more.
+times; the root partition's token stands for none. A stream's position is a time for each partition, as partitions advance on their
+own: within a partition records come in the order of their times, and those of one time together, but a partition may lie behind
+another. A batch holds what lies between two positions, and a heartbeat for every partition that was silent.
 """
 
 from __future__ import annotations
@@ -39,7 +40,9 @@ def scan(spark: SparkSession, path: str, start_us: int | None = None, end_us: in
 
 
 class Cursor(InputPartition):
-    def __init__(self, token: str | None, start: int, end: int, beat: bool):
+    """The records of (start, end] of a partition; beat: when a heartbeat says that there were none."""
+
+    def __init__(self, token: str | None, start: int, end: int, beat: int | None):
         self.token, self.start, self.end, self.beat = token, start, end, beat
 
 
@@ -47,72 +50,99 @@ class _Log:
     def __init__(self, options: dict):
         self.path = options["path"]
         self.start = int(options.get("start_us", 0))
-        self.end = int(options["end_us"]) if options.get("end_us") else None
+        self.end = int(options["end_us"]) if options.get("end_us") else 2**62
         self.max_rows = int(options.get("max_rows", 10_000))
-        self.tokens = json.loads(options["tokens"]) if options.get("tokens") else None
-
-    def data(self) -> ds.Dataset:
-        return ds.dataset(self.path)
-
-    def all_tokens(self) -> list[str | None]:
-        found = [None if t == ROOT else t for t in self.tokens] if self.tokens is not None else pc.unique(self.data().to_table(columns=["partition_token"])["partition_token"]).to_pylist()
-        return sorted(found, key=lambda t: (t is not None, t))
+        self.tokens = set(json.loads(options["tokens"])) if options.get("tokens") else None
+        self.files: dict[str, dict[str, int]] = {}
+
+    def positions(self) -> dict[str, int]:
+        """The last time of each partition (the root's token for none). Files do not change, so each is looked at once, by the statistics of
+        its row groups where one holds a single partition and ends in time, else by its two columns, batch by batch."""
+        last: dict[str, int] = {}
+        for file in ds.dataset(self.path).get_fragments():
+            if file.path not in self.files:
+                self.files[file.path] = self._last(file)
+            for token, at in self.files[file.path].items():
+                last[token] = max(at, last.get(token, at))
+        return last if self.tokens is None else {t: at for t, at in last.items() if t in self.tokens}
+
+    def _last(self, file) -> dict[str, int]:
+        last: dict[str, int] = {}
+        for group in file.split_by_row_group():
+            known = group.row_groups[0].statistics or {}
+            token, time = known.get("partition_token") or {}, known.get("commit_us") or {}
+            if token.get("min") is not None and token.get("min") == token.get("max") and time.get("max") is not None and time["max"] <= self.end and not self._nulls(group):
+                last[token["min"]] = max(time["max"], last.get(token["min"], time["max"]))
+                continue
+            batches = group.scanner(columns=["partition_token", "commit_us"], filter=pc.field("commit_us") <= self.end, batch_size=100_000).to_batches()
+            for batch in batches:
+                for r in pa.table(batch).group_by("partition_token").aggregate([("commit_us", "max")]).to_pylist():
+                    name = ROOT if r["partition_token"] is None else r["partition_token"]
+                    last[name] = max(r["commit_us_max"], last.get(name, r["commit_us_max"]))
+        return last
+
+    @staticmethod
+    def _nulls(group) -> bool:
+        """Whether a row group has, or may have, rows without a token: statistics leave them out."""
+        column = group.metadata.schema.names.index("partition_token")
+        stats = group.metadata.row_group(group.row_groups[0].id).column(column).statistics
+        return stats is None or not stats.has_null_count or stats.null_count > 0
 
     def read(self, cursor: Cursor):
-        """Rows of a cursor's (start, end], by time; a heartbeat at its end where it asks for one and nothing came."""
+        """Rows of a cursor's (start, end], max_rows at a time; its heartbeat where nothing came."""
+        kinds = pa.schema([("partition_token", pa.string()), ("commit_us", pa.int64()), ("record", pa.string())])
         token = pc.field("partition_token")
         mine = token.is_null() if cursor.token is None else token == cursor.token
         where = mine & (pc.field("commit_us") > cursor.start) & (pc.field("commit_us") <= cursor.end)
-        t = self.data().to_table(columns=["partition_token", "commit_us", "record"], filter=where).sort_by("commit_us")
-        if cursor.beat and not t.num_rows:
-            beat = json.dumps({"heartbeat_record": {"timestamp": _instant(cursor.end)}})
-            t = pa.table({"partition_token": pa.array([cursor.token], pa.string()), "commit_us": pa.array([cursor.end], pa.int64()), "record": [beat]})
-        yield from t.cast(pa.schema([("partition_token", pa.string()), ("commit_us", pa.int64()), ("record", pa.string())])).to_batches()
+        some = False
+        if cursor.end > cursor.start:
+            for batch in ds.dataset(self.path).scanner(columns=kinds.names, filter=where, batch_size=self.max_rows).to_batches():
+                if batch.num_rows:
+                    some = True
+                    yield batch.cast(kinds)
+        if cursor.beat is not None and not some:
+            beat = json.dumps({"heartbeat_record": {"timestamp": _instant(cursor.beat)}})
+            yield pa.RecordBatch.from_arrays([pa.array([cursor.token], pa.string()), pa.array([cursor.beat], pa.int64()), pa.array([beat])], schema=kinds)
 
 
 def _instant(us: int) -> str:
     return datetime.fromtimestamp(us // 1_000_000, UTC).strftime("%Y-%m-%dT%H:%M:%S.") + f"{us % 1_000_000:06d}Z"
 
 
+def _token(name: str) -> str | None:
+    return None if name == ROOT else name
+
+
 class ChangeReader(DataSourceReader):
     def __init__(self, options: dict):
         self.log = _Log(options)
 
     def partitions(self):
-        end = self.log.end if self.log.end is not None else 2**62
-        return [Cursor(t, self.log.start - 1, end, False) for t in self.log.all_tokens()]
+        last = self.log.positions()
+        return [Cursor(_token(t), self.log.start - 1, last[t], None) for t in sorted(last)] or [Cursor(None, 0, 0, None)]
 
     def read(self, partition: Cursor):
         return self.log.read(partition)
 
 
 class ChangeStreamReader(DataSourceStreamReader):
+    """Positions are {"at": {token: time}}: a partition that is not in it is read from its start."""
+
     def __init__(self, options: dict):
         self.log = _Log(options)
-        self.at = None
 
     def initialOffset(self) -> dict:  # noqa: N802
-        return {"us": self.log.start - 1}
+        return {"at": {}}
 
     def latestOffset(self) -> dict:  # noqa: N802
-        """The time up to which at most max_rows rows follow the last position, or that of the next row."""
-        at = self.log.start - 1 if self.at is None else self.at
-        where = pc.field("commit_us") > at
-        if self.log.end is not None:
-            where = where & (pc.field("commit_us") <= self.log.end)
-        times = self.log.data().to_table(columns=["commit_us"], filter=where)["commit_us"].sort().to_pylist()
-        if times:
-            n = min(self.log.max_rows, len(times))
-            if n < len(times) and times[n] == times[n - 1]:  # not within one time
-                low = next(i for i in range(n) if times[i] == times[n - 1])
-                n = low if low else next((i for i in range(n, len(times)) if times[i] != times[n]), len(times))
-            at = times[n - 1]
-        self.at = at
-        return {"us": at}
+        """The last times there are: the same after a restart, whatever was read before."""
+        return {"at": dict(sorted(self.log.positions().items()))}
 
     def partitions(self, start: dict, end: dict):
-        self.at = end["us"]
-        return [Cursor(t, start["us"], end["us"], True) for t in self.log.all_tokens()]
+        """A cursor for each partition. A silent one's heartbeat tells the latest time of any, which is not a position: what comes late is
+        still read."""
+        beat = max(end["at"].values(), default=None)
+        return [Cursor(_token(t), start["at"].get(t, self.log.start - 1), at, beat) for t, at in end["at"].items()] or [Cursor(None, 0, 0, None)]
 
     def read(self, partition: Cursor):
         return self.log.read(partition)
@@ -122,7 +152,7 @@ class ChangeStreamReader(DataSourceStreamReader):
 
 
 class ChangeStreamSource(DataSource):
-    """format tidemark_changes; options path, start_us, end_us (inclusive), tokens (a JSON list), max_rows."""
+    """format tidemark_changes; options path, start_us, end_us (inclusive), tokens (a JSON list), max_rows (that a reader holds at once)."""
 
     @classmethod
     def name(cls) -> str:

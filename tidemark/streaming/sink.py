@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.watermark import low_watermark
+from ..operators.watermark import low_watermark, stamps
 
 
 def by_key(envelopes: DataFrame, partitions: int, key: str = "key", *order: str) -> DataFrame:
@@ -43,3 +43,22 @@ def watermark_batch(claims, offsets, path: str, start_us: int | None = None):
         low_watermark(claims(), offsets(), start_us).withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
     return write
+
+
+def stamp_batch(claims, offsets, tables: DataFrame, output_partitions: int, stream: dict[str, str], path: str, suspended=lambda: False):
+    """A function for foreachBatch of a stream that a timer triggers (processingTime, ten seconds by default): each run writes a stamp for
+    every table and output partition, with the watermark as of then. While a token is claimed twice, or while suspended, none is written.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        value = None if suspended() else low_watermark(claims(), offsets()).first()["low_watermark_us"]
+        if value is not None:
+            stamps(tables, output_partitions, F.lit(value // 1000).cast("long"), stream).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    return write
+
+
+def acknowledged(path: str, spark) -> DataFrame:
+    """token, uid, batch of all records whose batch is written whole: what a batch commits is acknowledged. The folder is what write_batch fills
+    with envelopes that carry partition_token and record_uid."""
+    return spark.read.option("basePath", path).parquet(f"{path}/batch=*").select(F.col("partition_token").alias("token"), F.col("record_uid").alias("uid"), "batch")
