@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..plans.work import cut
+
 from .decode import ROOT
 from .lineage import CREATED, FINISHED, READY, REMOVED, RUNNING, SCHEDULED
 from .ownership import dealt, first_by_state
@@ -56,17 +58,17 @@ def share_equally(claims: DataFrame, leader: str, alive: list[str]) -> DataFrame
     living = F.broadcast(spark.createDataFrame([(t,) for t in sorted({*alive, leader})], "_task string"))  # as many rows as tasks
     c = claims.select(*COLUMNS)
     stay = c.join(living, c.task_uid == living._task, "left_semi")
-    gone = c.join(living, c.task_uid == living._task, "left_anti")
+    gone = cut(c.join(living, c.task_uid == living._task, "left_anti"))
     meant = lambda t: t.where("kind = 'shared'").join(living, F.col("assignee") == F.col("_task"), "left_semi")
     none = F.lit(None).cast("string")
     mine = stay.where(F.col("task_uid") == leader)
     # 1: finished ones
     owned = stay.where("kind = 'owned'").select("token")
     one = first_by_state(gone.where((F.col("kind") == "owned") & (F.col("state_ord") == FINISHED))).join(owned, "token", "left_anti")
-    one = one.select(F.lit(leader).alias("task_uid"), "kind", "token", "state_ord", none.alias("assignee"))
+    one = cut(one.select(F.lit(leader).alias("task_uid"), "kind", "token", "state_ord", none.alias("assignee")))
     # 2: shared ones with a living assignee
     known = owned.union(one.select("token")).union(meant(stay).select("token"))
-    two = first_by_state(meant(gone)).join(known, "token", "left_anti")
+    two = cut(first_by_state(meant(gone)).join(known, "token", "left_anti"))
     own = F.col("assignee") == leader
     kept = two.select(F.lit(leader).alias("task_uid"), F.when(own, "owned").otherwise("shared").alias("kind"), "token", "state_ord", F.when(own, none).otherwise(F.col("assignee")).alias("assignee"))
     # 3: the rest, dealt
@@ -77,10 +79,10 @@ def share_equally(claims: DataFrame, leader: str, alive: list[str]) -> DataFrame
     held = stay.where((F.col("kind") == "owned") & ~F.col("state_ord").isin(FINISHED, REMOVED)).select("task_uid", "token")
     held = held.union(meant(stay).select("assignee", "token")).union(two.select("assignee", "token")).distinct()
     loads = living.join(held, F.col("_task") == F.col("task_uid"), "left").groupBy("_task").agg(F.count("token").alias("load")).withColumnRenamed("_task", "task_uid")
-    given = dealt(lost, loads, leader)
+    given = dealt(cut(lost), loads, leader)
     own = F.col("assignee") == leader
     three = given.select(F.lit(leader).alias("task_uid"), F.when(own, "owned").otherwise("shared").alias("kind"), "token", F.lit(CREATED).cast("long").alias("state_ord"), F.when(own, none).otherwise(F.col("assignee")).alias("assignee"))
-    new = one.unionByName(kept).unionByName(three)
+    new = cut(one.unionByName(kept).unionByName(three))  # each step is looked at by several others
     have = mine.where("kind = 'owned'").unionByName(new.where("kind = 'owned'"))
     shared = meant(mine).unionByName(new.where("kind = 'shared'")).join(have.select("token"), "token", "left_anti")
     return have.unionByName(shared.select(*COLUMNS))

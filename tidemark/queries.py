@@ -672,11 +672,17 @@ LINES = {"l_orderkey": ColumnType("INT64"), "l_partkey": ColumnType("INT64"), "l
 def _order_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records with many mods: an order's lineitems, deletes of returned ones and inserts of the others; partition_token, record."""
     line = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select("l_orderkey", "l_partkey", "l_quantity", "l_returnflag")
-    text = lambda n: F.create_map(F.lit(n), F.col(n).cast("string"))
-    none, gone = F.lit(None).cast("map<string,string>"), F.col("l_returnflag") == "R"
-    mod = F.struct(F.map_concat(text("l_orderkey"), text("l_partkey")).alias("keys"), F.when(gone, text("l_quantity")).otherwise(none).alias("old_values"), F.when(~gone, text("l_quantity")).otherwise(none).alias("new_values"))
-    mods_ = F.sort_array(F.collect_list(F.struct("l_partkey", "l_quantity", "l_returnflag", mod.alias("mod"))))
-    one = line.groupBy("l_orderkey", gone.alias("gone")).agg(F.transform(mods_, lambda x: x["mod"]).alias("mods"))
+    text = lambda n, c: (F.lit(n), c.cast("string"))
+    lines = F.sort_array(F.collect_list(F.struct("l_partkey", "l_quantity", "l_returnflag")))
+    one = line.groupBy("l_orderkey", (F.col("l_returnflag") == "R").alias("gone")).agg(lines.alias("lines"))
+    none = F.lit(None).cast("map<string,string>")
+
+    def mod(x):
+        quantity = F.create_map(*text("l_quantity", x["l_quantity"]))
+        keys = F.create_map(*text("l_orderkey", F.col("l_orderkey")), *text("l_partkey", x["l_partkey"]))
+        return F.struct(keys.alias("keys"), F.when(F.col("gone"), quantity).otherwise(none).alias("old_values"), F.when(~F.col("gone"), quantity).otherwise(none).alias("new_values"))
+
+    one = one.select("l_orderkey", "gone", F.transform("lines", mod).alias("mods"))
     record = F.struct(F.struct(
         F.lit("2024-01-01T00:00:00Z").alias("commit_timestamp"), F.when(F.col("gone"), "1").otherwise("0").alias("record_sequence"), F.col("l_orderkey").cast("string").alias("server_transaction_id"),
         F.lit("lineitem").alias("table_name"), "mods", F.when(F.col("gone"), "DELETE").otherwise("INSERT").alias("mod_type"), F.lit("OLD_AND_NEW_VALUES").alias("value_capture_type"),

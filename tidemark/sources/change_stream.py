@@ -14,10 +14,13 @@ from datetime import UTC, datetime
 import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.dataset as ds
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
+import tidemark
+
 from ..operators.decode import ROOT
 
 SCHEMA = "partition_token string, commit_us bigint, record string"
@@ -169,4 +172,5 @@ class ChangeStreamSource(DataSource):
 
 
 def register(spark: SparkSession) -> None:
+    cloudpickle.register_pickle_by_value(tidemark)  # executors need not have the package installed
     spark.dataSource.register(ChangeStreamSource)

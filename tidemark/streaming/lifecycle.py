@@ -10,10 +10,13 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+import tidemark
+
 from ..operators.lineage import CREATED, FINISHED, READY, RUNNING, SCHEDULED
 
 OUT = "token string, state long, at_us long, pending boolean"
@@ -63,6 +66,8 @@ def lifecycle(events: DataFrame) -> DataFrame:
 def lifecycle_batch(events: DataFrame) -> DataFrame:
     """The same over a table: token and the state after all its events."""
 
+    cloudpickle.register_pickle_by_value(tidemark)  # executors need not have the package installed
+
     def whole(key, rows: pd.DataFrame) -> pd.DataFrame:
         have = (CREATED, None, None, False, 0)
         for kind, uid, when in rows.sort_values(["at_us", "seq"], kind="stable")[["kind", "uid", "at_us"]].itertuples(index=False, name=None):

@@ -30,7 +30,7 @@ def run(envelopes: DataFrame, path: str, checkpoint: str, once: bool = True) ->
 
 
 def read(spark, path: str) -> DataFrame:
-    return spark.read.parquet(f"{path}/batch=*")
+    return spark.read.option("basePath", path).parquet(f"{path}/batch=*")
 
 
 def watermark_batch(claims, offsets, path: str, start_us: int | None = None):
