@@ -632,10 +632,14 @@ def slow_records(spark, sf_dir):
     return metrics.slow(c, "lag", limit=500_000_000)
 
 
-@query(f"""SELECT token, ({BASE_US} + 5000000000 - start_us) // 300000000 AS intervals, start_us < {BASE_US} + 5000000000 - 3000000000 AS is_stuck FROM partitions""")
+#: The last event of a partition, within 5000 seconds however many there are.
+_LAST = f"({BASE_US} + (start_us - {BASE_US}) % 5000000000)"
+
+
+@query(f"""SELECT token, ({BASE_US} + 5000000000 - {_LAST}) // 300000000 AS intervals, {_LAST} < {BASE_US} + 5000000000 - 3000000000 AS is_stuck FROM partitions""")
 def stuck_partitions(spark, sf_dir):
-    p = fixture(spark, sf_dir, "partitions")
-    return metrics.stuck(p, "start_us", F.lit(BASE_US + 5_000_000_000), 300_000_000).select("token", "intervals", "is_stuck")
+    p = fixture(spark, sf_dir, "partitions").withColumn("last_us", F.expr(_LAST))
+    return metrics.stuck(p, "last_us", F.lit(BASE_US + 5_000_000_000), 300_000_000).select("token", "intervals", "is_stuck")
 
 
 @query("""SELECT count(DISTINCT CASE WHEN state_ord NOT IN (4, 5) THEN token END) AS in_work, count(DISTINCT task_uid) AS tasks,
@@ -760,9 +764,9 @@ def late_heartbeats(spark, sf_dir):
     return metrics.late_heartbeats(h, F.lit(NOW_US // 1000))
 
 
-@query(f"SELECT max(({BASE_US} + 5000000000 - start_us) // 300000000) AS longest FROM partitions WHERE token <> 'Parent0'")
+@query(f"SELECT max(({BASE_US} + 5000000000 - {_LAST}) // 300000000) AS longest FROM partitions WHERE token <> 'Parent0'")
 def longest_stuck(spark, sf_dir):
-    p = metrics.stuck(fixture(spark, sf_dir, "partitions"), "start_us", F.lit(BASE_US + 5_000_000_000), 300_000_000)
+    p = metrics.stuck(fixture(spark, sf_dir, "partitions").withColumn("last_us", F.expr(_LAST)), "last_us", F.lit(BASE_US + 5_000_000_000), 300_000_000)
     return p.agg(F.max("intervals").alias("longest"))
 
 

@@ -13,7 +13,7 @@ from .operators import decode, envelope, metrics, operations, ownership, rebalan
 from .plans.config import ConfigError, ReaderConfig
 from .plans.fixtures import BASE_US, NOW_US, fixture
 from .plans.work import cut, workdir
-from .queries import STREAM, USERS, mods, query, records, wire
+from .queries import _LAST, STREAM, USERS, mods, query, records, wire
 from .sources import change_stream
 from .streaming import lifecycle, sink
 
@@ -414,9 +414,9 @@ def lifecycle_states(spark, sf_dir):
     return lifecycle.lifecycle_batch(events).select("token", "state", "pending")
 
 
-@query(f"SELECT token FROM partitions WHERE {BASE_US + 5_000_000_000} - start_us > 300000000")
+@query(f"SELECT token FROM partitions WHERE {BASE_US + 5_000_000_000} - {_LAST} > 300000000")
 def overdue_finishing(spark, sf_dir):
-    p = fixture(spark, sf_dir, "partitions").select("token", F.col("start_us").alias("since_us"))
+    p = fixture(spark, sf_dir, "partitions").select("token", F.expr(_LAST).alias("since_us"))
     return lifecycle.overdue(p, BASE_US + 5_000_000_000).select("token")
 
 
