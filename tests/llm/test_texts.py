@@ -403,6 +403,38 @@ def test_lm_beats_its_base_and_sums_to_one(spark, sf):
     assert np.allclose(np.exp(m.log_p(np.arange(50))).sum(axis=1), 1)
 
 
+def test_lm_scores_against_brute_force(spark, sf):
+    """Word by word: the class after the two classes before, the word within it after their hashes; and probabilities sum to one."""
+    docs = [(i, t) for i, t in documents(spark, sf) if i < 120]
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    counts = lm.word_counts(d).persist()
+    known = lm.Counts(counts, lm.SEND)
+    sent = spark.sparkContext.broadcast(known)
+    model = lm.train(lm.class_ngrams(d, sent), lm.Maxent(known.classes, known.start), rounds=6)
+    assert np.abs(model.u).max() > 0.05
+    inner = np.exp(model.log_inner(np.arange(lm.SEEN**2))).reshape(-1, lm.TAIL, lm.FORMS + 1)
+    assert np.allclose(inner.sum(axis=2), 1)
+    got = {r["doc_id"]: r["score"] for r in lm.score(d, d).collect()}
+    full = lm.train(lm.class_ngrams(d, sent), lm.Maxent(known.classes, known.start))
+    inner = np.exp(full.log_inner(np.arange(lm.SEEN**2)))
+    for i, t in docs[:25]:
+        two = one = lm.START
+        total = 0.0
+        for w in [*words(t), None]:
+            if w is None:
+                k, share = lm.END_CLASS, (known.classes[lm.END_CLASS] + 1) / 10 ** known.within[lm.END_CLASS]
+            else:
+                (k,), (c,), _, (o,) = known.look(np.array([w], object))
+                share = (max(c, 0) + 1) / 10 ** known.within[k]
+                if o >= 0:
+                    place = int(lm.hashed(np.array(two)) * lm.SEEN + lm.hashed(np.array(one)))
+                    share *= inner[place, o] / math.exp(known.start.ravel()[o])
+            p = np.exp(full.log_p(np.array([two * (lm.CLASSES + 1) + one]))[0])
+            total += math.log10(p[k] * share)
+            two, one = one, k
+        assert abs(total - got[i]) < 1e-3 * abs(total), i
+
+
 def test_lm_contexts_have_pair_rows_of_their_own():
     """The rounds and the table are those of before the driver's limit was met by partitions; no two contexts share a pair."""
     contexts = np.arange((lm.CLASSES + 1) ** 2)
@@ -587,6 +619,15 @@ def test_edit_links_whatever_part_differs(spark):
     assert got == {(100 + i, i) for i in range(30) if fingerprint.likeness(p[i], p[30 + i]) >= fingerprint.LIKE}
 
 
+def test_places_among_many_cuts(spark):
+    import bisect
+
+    cuts = sorted({float(random.Random(3).randrange(1000)) for _ in range(1)} | {float(x * x % 997) for x in range(40)})
+    values = [-5.0, *cuts[:7], 3.5, 500.5, 2000.0]
+    got = spark.createDataFrame([(v,) for v in values], "v double").select(fingerprint._place(F.col("v"), cuts).alias("p")).collect()
+    assert [r["p"] for r in got] == [bisect.bisect_left(cuts, v) for v in values]
+
+
 def test_fingerprint_odd(spark):
     out = fingerprint.fingerprints(odd(spark)).collect()
     assert len(out) == len(ODD)
@@ -604,12 +645,30 @@ def test_globs_against_fnmatch():
     rng = random.Random(12)
     pats = ["".join(rng.choice("ab*?./") for _ in range(rng.randint(1, 30))) for _ in range(40)] + ["", "*", "a" * 70 + "*"]
     urls = ["".join(rng.choice("ab./") for _ in range(rng.randint(0, 80))) for _ in range(300)] + ["", "a" * 75]
-    got = urlfilter.Globs(pats).match([u.encode() for u in urls])
+    got = urlfilter.Automaton([urlfilter.chain(p) for p in pats]).match([u.encode() for u in urls])
     for i, u in enumerate(urls):
         for j, p in enumerate(pats):
             assert got[i, j] == fnmatch.fnmatchcase(u, p), (u, p)
 
 
+def test_url_rules_against_brute_force(spark):
+    """Rules of hosts and paths, among them equally long ones and paths with a star in them, over hosts and paths of few letters; long
+    URLs and URLs that repeat."""
+    rng = random.Random(6)
+    name = lambda n: "".join(rng.choice("ab.") for _ in range(n)).strip(".") or "a"
+    rules = list({(name(rng.randint(1, 4)), "/" + "".join(rng.choice("ab*/") for _ in range(rng.randint(0, 3)))): rng.choice(["allow", "block"]) for _ in range(40)}.items())
+    rules = [(h, p, v) for (h, p), v in rules]
+    urls = [f"http://{name(rng.randint(1, 7)).upper()}/{''.join(rng.choice('ab*/') for _ in range(rng.randint(0, 4)))}" for _ in range(300)]
+    urls += urls[:20] + ["http://a.b/" + "ab" * 100_000, "http://a", None, "a.b/a"]
+    got = {r["page_id"]: r for r in urlfilter.judge(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string"), rules, ["*aab*"]).collect()}
+    assert len(got) == len(urls)
+    for i, u in enumerate(urls):
+        host, path, canon = urlfilter.split_url(u)
+        fits = sorted((-len(h + p), h + p, v) for h, p, v in rules if (host == h or host.endswith("." + h)) and path.startswith(p))
+        want = (fits[0][1], fits[0][2]) if fits else (None, "block" if "aab" in canon else "allow")
+        assert (got[i]["rule"], got[i]["verdict"]) == want or fits and fits[0][1] == got[i]["rule"] and len([f for f in fits if f[1] == fits[0][1]]) > 1, (u, want)
+
+
 def test_url_verdicts(spark):
     rows = ["https://A.Example.ORG/es/1?q#f", "http://example.org/en/17", "http://example.org/en/2", "https://x.com/fr/9", "https://x.com/de/9", "http://www.casino-win.net/a", "http://ok.net/a", "http://org", None, "no scheme",
             "http://badexample.org/en/1", "https://x.com?/fr/"]

@@ -9,6 +9,7 @@ about 1.4 SAMPLES of them, the longer the text the sparser, and the steps of a s
 from __future__ import annotations
 
 import hashlib
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -129,6 +130,18 @@ def text_of(values: np.ndarray, n: int, level: int) -> str:
 # ---------------------------------------------------------------- each document and the next one
 
 
+def _place(value, cuts: list[float]):
+    """How many of the sorted cuts are less than value: first among every so many of them, then between two of those."""
+    if not cuts:
+        return F.lit(0)
+    step = math.isqrt(len(cuts) - 1) + 1
+    parts = [cuts[i : i + step] for i in range(0, len(cuts), step)]
+    below = lambda a: F.size(F.filter(a, lambda c: c < value))
+    part = below(F.array(*[F.lit(p[0]) for p in parts]))
+    inner = F.get(F.array(*[F.array(*map(F.lit, p)) for p in parts]), part - 1)
+    return F.when(part == 0, F.lit(0)).otherwise((part - 1) * step + below(inner))
+
+
 def _beside_next(docs: DataFrame) -> DataFrame:
     """doc_id, text, _range, _own: documents dealt by ranges of doc_id, each range followed by the first document of the next.
 
@@ -139,11 +152,7 @@ def _beside_next(docs: DataFrame) -> DataFrame:
     ranges = RANGES * max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     keyed = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))).alias("_id"), F.col("doc_id").cast("long").alias("doc_id"), "text")
     cuts = sorted(set(keyed.select(F.col("_id").cast("double").alias("x")).approxQuantile("x", [i / ranges for i in range(1, ranges)], 0.1 / ranges)))
-    if cuts:
-        place = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c < F.col("_id").cast("double")))
-    else:
-        place = F.lit(0)
-    keyed = keyed.withColumn("_range", place)
+    keyed = keyed.withColumn("_range", _place(F.col("_id").cast("double"), cuts))
     heads = {r["_range"]: (r["id"], r["n"]) for r in keyed.groupBy("_range").agg(F.max("_id").alias("id"), F.count("*").alias("n")).collect()}
     order = sorted(heads, reverse=True)  # descending ids
     after = [(heads[b][0], a) for a, b in zip(order, [*order[1:], *order[:1]], strict=True)]  # after the last: the first

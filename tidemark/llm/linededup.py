@@ -288,16 +288,15 @@ def _dedup(docs: DataFrame) -> DataFrame:
     windows = around.where("w IS NOT NULL").select("h", "w", F.col("c").alias("_key"), F.col("cth").alias("_th"), F.col("start").alias("first"))
     oldest = windows.groupBy("h", "w").agg(F.count("*").alias("n"), F.min(F.struct("_key", "_th", "first")).alias("f")).where("n > 1")
     oldest = written(oldest.select("h", "w", "f"), "oldest")
-    none = F.array().cast("array<long>")
     repeats = windows.join(oldest, ["h", "w"]).where("NOT (_key = f._key AND _th = f._th AND first = f.first)")
-    repeats = repeats.select("_key", "_th", "first", (F.col("first") + RUN - LINE).alias("last"), none.alias("before"), none.alias("after"))
+    repeats = repeats.groupBy("_key", "_th").agg(F.collect_list("first").alias("_windows"))
     around = around.where("w IS NULL")
     left = around.select("c", "cth", F.col("p").alias("cfirst"), "before")
     right = around.select("c", "cth", F.col("p").alias("clast"), "after")
     runs = chains.join(left, ["c", "cth", "cfirst"]).join(right, ["c", "cth", "clast"])
-    runs = runs.select("_key", "_th", "first", "last", "before", "after").union(repeats)
     runs = runs.groupBy("_key", "_th").agg(F.collect_list(F.struct("first", "last", "before", "after")).alias("_runs"))
-    rows = keyed.join(runs, ["_key", "_th"], "left").select(*docs.columns, "_runs")
+    runs = runs.join(repeats, ["_key", "_th"], "full")
+    rows = keyed.join(runs, ["_key", "_th"], "left").select(*docs.columns, "_runs", "_windows")
     extra = "removed array<struct<start:int,end:int>>, n_removed int, emptied boolean"
     schema = docs.select(*docs.columns).schema
 
@@ -305,21 +304,25 @@ def _dedup(docs: DataFrame) -> DataFrame:
         spans = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
         for batch in slices(batches, "text", 4_000_000):
             n = batch.num_rows
-            found = ints_of(batch, "_runs")
-            some = np.flatnonzero(pc.and_(found.is_valid(), ints_of(batch, "text").is_valid()).to_numpy(zero_copy_only=False))
+            found, windows = ints_of(batch, "_runs"), ints_of(batch, "_windows")
+            some = np.flatnonzero(pc.and_(pc.or_(found.is_valid(), windows.is_valid()), ints_of(batch, "text").is_valid()).to_numpy(zero_copy_only=False))
             texts = texts_of(batch).take(pa.array(some))
             off, code, vocab = ascii_words(texts)
             h = hash_words(vocab).view(np.int64)[code] if len(vocab) else np.empty(0, np.int64)
             runs = found.take(pa.array(some))
             each, flat = runs.offsets.to_numpy(), runs.flatten()
             each = each - each[0] if len(each) else each
+            windows = windows.take(pa.array(some))
+            w_off, starts = windows.offsets.to_numpy(), windows.flatten().to_numpy()
+            w_off = w_off - w_off[0] if len(w_off) else w_off
             first, last = flat.field("first").to_numpy(), flat.field("last").to_numpy()
             (b_off, b), (a_off, a) = ((x.offsets.to_numpy(), x.values.to_numpy()) for x in (flat.field("before"), flat.field("after")))
             changed, new, removed, emptied = np.zeros(n, bool), [], np.zeros(n, np.int32), np.zeros(n, bool)
             cuts = [()] * n
             for j, i in enumerate(some.tolist()):
                 w = h[off[j] : off[j + 1]]
-                gone = np.zeros(len(w) + 1, np.int32)
+                mine = starts[w_off[j] : w_off[j + 1]]
+                gone = np.bincount(mine, minlength=len(w) + 1) - np.bincount(mine + RUN, minlength=len(w) + 1)
                 for r in range(each[j], each[j + 1]):
                     s, e = _extended(w, int(first[r]), int(last[r]), b[b_off[r] : b_off[r + 1]], a[a_off[r] : a_off[r + 1]])
                     if e - s >= RUN:
@@ -330,8 +333,8 @@ def _dedup(docs: DataFrame) -> DataFrame:
                     text, cuts[i] = _cut(texts[j].as_py(), off_words)
                     new.append(text)
                     changed[i], removed[i], emptied[i] = True, off_words.sum(), off_words.all()
-            names = [f.name for f in batch.schema if f.name != "_runs"]
-            cols = [batch.column(i) for i, f in enumerate(batch.schema) if f.name != "_runs"]
+            names = [f.name for f in batch.schema if f.name not in ("_runs", "_windows")]
+            cols = [batch.column(i) for i, f in enumerate(batch.schema) if f.name not in ("_runs", "_windows")]
             if changed.any():
                 at = names.index("text")
                 whole = cols[at].take(pa.array(np.arange(n)))

@@ -24,6 +24,8 @@ from .components import connected_components
 HASHES, ROWS = 128, 4
 #: Similarity at which documents are linked, as a fraction of whole numbers: 100 * intersection >= 75 * union.
 SIMILARITY = 75
+#: Members of a centre that are compared with one copy of its text.
+CHUNK = 256
 #: Documents of a bucket, and shingles of theirs, that are compared with as many others at once.
 BLOCK, BULK = 512, 500_000
 
@@ -66,37 +68,48 @@ def signatures(docs: DataFrame, k: int = 5) -> DataFrame:
 
 
 def _confirmed(pairs: DataFrame, texts: DataFrame, k: int) -> DataFrame:
-    """Those of pairs (src, dst) whose whole texts' shingle sets are alike."""
+    """Those of pairs (src, dst) whose whole texts' shingle sets are alike.
+
+    A centre dst may have very many members: they are dealt to chunks of about CHUNK, and its text goes to each chunk once, not to each
+    member. Of a repeated id each text counts.
+    """
 
     def run(batches):
-        kept: dict[int, np.ndarray] = {}
+        key, centre = None, []
         for batch in batches:
-            for part in (p for q in cut(batch, "a_text", 2_000_000) for p in cut(q, "b_text", 2_000_000)):
-                src, dst = (part.column(part.schema.get_field_index(c)).to_numpy() for c in ("src", "dst"))
-                ids, need = [], []
-                for c, who in (("a_text", src), ("b_text", dst)):
-                    first = {int(d): i for i, d in enumerate(who)}
-                    new = [(d, i) for d, i in first.items() if d not in kept]
-                    ids += [d for d, _ in new]
-                    need.append(texts_of(part, c).take(pa.array([i for _, i in new], pa.int64())))
-                w, g = shingle_sets(pa.concat_arrays(need), k)
-                at = np.searchsorted(w, np.arange(len(ids) + 1))
-                for i, d in enumerate(ids):
-                    kept[d] = g[at[i] : at[i + 1]]
-                ok = np.zeros(len(src), bool)
-                for i, (x, y) in enumerate(zip(src.tolist(), dst.tolist(), strict=True)):
-                    p, q = kept[x], kept[y]
-                    if 100 * min(len(p), len(q)) >= SIMILARITY * max(len(p), len(q)):
-                        both = len(np.intersect1d(p, q, assume_unique=True))
-                        ok[i] = both > 0 and 100 * both >= SIMILARITY * (len(p) + len(q) - both)
-                if sum(map(len, kept.values())) > 2_000_000:
-                    kept.clear()
-                yield pa.RecordBatch.from_arrays([pa.array(src[ok]), pa.array(dst[ok])], names=["src", "dst"])
-
-    a = texts.select(F.col("doc_id").alias("src"), F.col("text").alias("a_text"))
-    b = texts.select(F.col("doc_id").alias("dst"), F.col("text").alias("b_text"))
-    joined = pairs.join(a, "src").select("src", "dst", "a_text").join(b, "dst").select("src", "dst", "a_text", "b_text")
-    return joined.mapInArrow(run, "src long, dst long")
+            for part in cut(batch, "text", 4_000_000):
+                dst, salt, doc, first = (part.column(part.schema.get_field_index(c)).to_numpy(zero_copy_only=False) for c in ("dst", "salt", "id", "centre"))
+                w, g = shingle_sets(texts_of(part), k)
+                at = np.searchsorted(w, np.arange(len(dst) + 1))
+                left, right = [], []
+                for i in range(len(dst)):
+                    mine = g[at[i] : at[i + 1]]
+                    if first[i]:
+                        now = dst[i], salt[i]
+                        centre = [*centre, mine] if now == key else [mine]
+                        key = now
+                    elif any(_alike(mine, c) for c in centre):
+                        left.append(int(doc[i]))
+                        right.append(int(dst[i]))
+                centre = [c.copy() for c in centre]  # not the whole part's
+                yield _pairs(list(zip(left, right, strict=True)))
+
+    sizes = pairs.groupBy("dst").agg(F.count("*").alias("members"))
+    chunk = F.pmod(F.xxhash64("src"), F.ceil(F.col("members") / CHUNK)).cast("int")
+    members = pairs.join(sizes, "dst").select("dst", chunk.alias("salt"), F.col("src").alias("id"), F.lit(False).alias("centre"))
+    centres = members.select("dst", "salt").distinct().select("dst", "salt", F.col("dst").alias("id"), F.lit(True).alias("centre"))
+    rows = members.union(centres).join(texts.select(F.col("doc_id").alias("id"), "text"), "id").select("dst", "salt", "id", "centre", "text")
+    n = max(1, int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    rows = rows.repartition(n, "dst", "salt").sortWithinPartitions("dst", "salt", F.col("centre").desc())
+    return rows.mapInArrow(run, "src long, dst long")
+
+
+def _alike(p: np.ndarray, q: np.ndarray) -> bool:
+    """Whether two sorted sets are similar enough."""
+    if 100 * min(len(p), len(q)) < SIMILARITY * max(len(p), len(q)):
+        return False
+    both = len(np.intersect1d(p, q, assume_unique=True))
+    return both > 0 and 100 * both >= SIMILARITY * (len(p) + len(q) - both)
 
 
 def _across(members: DataFrame, k: int) -> DataFrame:

@@ -7,6 +7,7 @@ probability above 1, is the probability of each of its documents; a hash of the
 
 from __future__ import annotations
 
+import warnings
 import zlib
 
 import numpy as np
@@ -19,6 +20,8 @@ from .common import ascii_words, owner, shared_dir, slices, texts_of, written
 DIMS = ("source", "lang", "topic")
 #: Target shares: proportional to a power of the tokens that a category has (0: all categories alike).
 POWERS = {"source": 0.7, "lang": 0.6, "topic": 0.5}
+#: By how much a share may miss its target without a warning.
+MET = 1e-3
 #: Share of all tokens to keep; topics; rounds over the dimensions; the shift of weight at which they end.
 KEEP, TOPICS, ROUNDS, CLOSE = 0.5, 8, 50, 1e-9
 #: Cells that the driver rakes; more are raked as tables.
@@ -63,6 +66,9 @@ def rake(cells: np.ndarray, codes: list[np.ndarray], shares: list[np.ndarray], r
             w = w * np.divide(share * total, now, out=np.zeros(len(share)), where=now > 0)[code]
         if np.abs(w - before).sum() <= CLOSE * total:
             break
+    far = max((float(np.abs(np.bincount(code, w, minlength=len(share)) / max(total, 1e-300) - share).max(initial=0)) for code, share in zip(codes, shares, strict=True)), default=0.0)
+    if total and far > MET:
+        warnings.warn(f"after {rounds} rounds a marginal is {far:.4f} from its target share: the cells do not allow the targets, or need more rounds", stacklevel=2)
     return w
 
 

@@ -1,8 +1,10 @@
-"""URL filters: host and path rules first, then glob rules packed into one bit-parallel automaton.
+"""URL filters: host and path rules and glob rules, packed into one bit-parallel automaton.
 
-Every glob is a chain of states, one more than its characters; all chains lie side by side in the bits of a few 64-bit words.
+Every rule is a chain of states, one more than its characters; all chains lie side by side in the bits of a few 64-bit words.
 Reading a byte shifts all states at once (Shift-And) and keeps those whose next character it is; a state before a '*' also
-stays. All globs run over all URLs of a batch together.
+stays. All rules run over all URLs of a batch together. What they read of a URL is one string: a point, the host, a mark, the path,
+another mark, the canonical URL. A host and path rule is the chain of any bytes, a point, its host, the first mark, its path, any bytes; a
+glob is any bytes, the second mark, and the glob itself.
 """
 
 from __future__ import annotations
@@ -22,16 +24,35 @@ GLOBS = ["*cheap-pills*", "*casino*", "*free-bets*", "*spam-farm*", "ads-track.*
 _UPPER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-class Globs:
-    """Patterns of literal characters, '?' (any one byte) and '*' (any bytes), each to match a whole URL."""
+#: Marks between the parts of what the automaton reads; bytes that no rule contains.
+_PATH, _CANON = "\x00", "\x01"
 
-    def __init__(self, patterns: list[str]):
+
+def chain(pattern: str, plain: bool = False) -> list[int | str]:
+    """A pattern as bytes, 'any' (one byte) and 'all' (any bytes); plain: '*' and '?' stand for themselves."""
+    return [c if plain or c not in b"*?" else "all" if c == ord("*") else "any" for c in pattern.encode()]
+
+
+def rule_chain(host: str, path: str) -> list[int | str]:
+    """The chain of a rule that fits its host, all its subdomains, and paths that start with its own."""
+    return ["all", *chain(f".{host}{_PATH}{path}", plain=True), "all"]
+
+
+def glob_chain(glob: str) -> list[int | str]:
+    """The chain of a glob over the canonical URL."""
+    return ["all", *chain(_CANON), *chain(glob)]
+
+
+class Automaton:
+    """Chains, each to match the whole of what is read."""
+
+    def __init__(self, patterns: list[list[int | str]]):
         self.patterns = list(patterns)
         chains = []
         for p in self.patterns:
             steps, stays = [], [False]
-            for c in p.encode():
-                if c == ord("*"):
+            for c in p:
+                if c == "all":
                     stays[-1] = True
                 else:
                     steps.append(c)
@@ -49,7 +70,7 @@ class Globs:
                 if s:
                     self._set(self.stay, at + i)
             for i, c in enumerate(steps, 1):
-                for b in range(256) if c == ord("?") else [c]:
+                for b in range(256) if c == "any" else [c]:
                     self._set(self.on[b], at + i)
             at += len(stays)
             self.last.append(at - 1)
@@ -80,25 +101,6 @@ class Globs:
         return out
 
 
-class Rules:
-    """(host, path, verdict): a rule fits its host and all subdomains where the path starts with the rule's."""
-
-    def __init__(self, rules):
-        self.of: dict[str, list[tuple[str, str]]] = {}
-        for h, p, v in rules:
-            self.of.setdefault(h, []).append((p, v))
-
-    def best(self, host: str, path: str) -> tuple[str | None, str | None]:
-        """(rule, verdict) of the longest rule, host and path together, that fits; of equally long ones the smallest."""
-        found, labels = None, host.split(".")
-        for i in range(len(labels)):
-            h = ".".join(labels[i:])
-            for p, v in self.of.get(h, ()):
-                if path.startswith(p) and (found is None or (-len(h + p), h + p) < (-len(found[0]), found[0])):
-                    found = (h + p, v)
-        return found or (None, None)
-
-
 def split_url(url: str | None) -> tuple[str, str, str]:
     """Host, path and canonical URL (host, path and query with A-Z lowered, no scheme, no fragment); all empty without '://'."""
     at = -1 if url is None else url.find("://")
@@ -114,18 +116,23 @@ def split_url(url: str | None) -> tuple[str, str, str]:
 def judge(pages: DataFrame, rules=tuple(RULES), globs=tuple(GLOBS), key: str = "page_id") -> DataFrame:
     """key, host, path, rule, verdict, globs for each row of pages (key, url; further columns are ignored).
 
-    verdict is the longest fitting rule's; without one, block if a glob matches the canonical URL, else allow. globs: those
-    that match. Null URLs and those without '://' have an empty host and path, no rule, and are allowed. Repeated rows are
-    judged alike.
+    verdict is the longest fitting rule's, host and path together, of equally long ones the smallest's; without one, block if a glob
+    matches the canonical URL, else allow. globs: those that match. Null URLs and those without '://' have an empty host and path, no
+    rule, and are allowed. A URL of any length is read whole; repeated rows are judged alike.
     """
-    patterns, table = Globs(list(globs)), Rules(rules)
+    ordered = sorted(rules, key=lambda r: (-len(r[0] + r[1]), r[0] + r[1]))
+    machine = Automaton([rule_chain(h, p) for h, p, _ in ordered] + [glob_chain(g) for g in globs])
+    texts, verdicts = [h + p for h, p, _ in ordered], [v for _, _, v in ordered]
 
     def run(batches):
-        names = np.array(patterns.patterns, object)
+        names = np.array(globs, object)
         for batch in slices(batches, "url"):
             parts = [split_url(u) for u in ints_of(batch, "url").to_pylist()]
-            hit = patterns.match([c.encode("utf-8", "replace") for _, _, c in parts])
-            found = [table.best(h, p) for h, p, _ in parts]
+            clear = str.maketrans(_PATH + _CANON, "\x02\x02")
+            hit = machine.match([f".{h.translate(clear)}{_PATH}{p.translate(clear)}{_CANON}{c.translate(clear)}".encode("utf-8", "replace") for h, p, c in parts])
+            fits, hit = hit[:, : len(ordered)], hit[:, len(ordered) :] & np.array([u is not None and "://" in u for u in ints_of(batch, "url").to_pylist()], bool)[:, None]
+            first = np.where(fits.any(axis=1), fits.argmax(axis=1) if len(ordered) else 0, -1).tolist()
+            found = [(texts[k], verdicts[k]) if k >= 0 else (None, None) for k in first]
             verdict = [v or ("block" if any_ else "allow") for (_, v), any_ in zip(found, hit.any(axis=1).tolist(), strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [ints_of(batch, key), pa.array([h for h, _, _ in parts], pa.string()), pa.array([p for _, p, _ in parts], pa.string()),
