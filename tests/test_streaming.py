@@ -140,3 +140,20 @@ def test_watermark_batches(spark, tmp_path):
     w(spark.range(1), 0)
     w(spark.range(1), 0)
     assert [r["low_watermark_us"] for r in spark.read.parquet(str(tmp_path / "w" / "batch=*")).collect()] == [12]
+
+
+def test_stamps_and_overload_on_a_timer(spark, tmp_path):
+    kind = "task_uid string, kind string, token string, state_ord long, start_us long, finished_us long, assignee string"
+    rows = [("a", "owned", f"p{i}", 3, 9_000_000 + i, None, None) for i in range(9)] + [("b", "owned", "q", 3, 9_500_000, None, None), ("c", "owned", "r", 4, 1, 2, None)]
+    claims = lambda: spark.createDataFrame(rows, kind)
+    offsets = lambda: spark.createDataFrame([("p0", 9_700_000)], "token string, offset_us long")
+    tables, off = spark.createDataFrame([("users",), ("audit",)], "table_name string"), [False]
+    write = sink.stamp_batch(claims, offsets, tables, 2, STREAM, str(tmp_path / "s"), lambda: off[0])
+    write(tables, 0)
+    off[0] = True
+    write(tables, 1)
+    got = spark.read.parquet(str(tmp_path / "s" / "batch=*")).collect()
+    assert len(got) == 4 and {r["source"]["low_watermark"] for r in got} == {9000} and {r["op"] for r in got} == {"m"}
+    with pytest.raises(RuntimeError, match="a has 9 partitions"):
+        sink.overload_check(claims, "a", 2)(tables, 0)
+    assert sink.overload_check(claims, "b", 2)(tables, 0) is None

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..operators.ownership import overloaded
 from ..operators.watermark import low_watermark, stamps
 
 
@@ -62,3 +63,15 @@ def acknowledged(path: str, spark) -> DataFrame:
     """token, uid, batch of all records whose batch is written whole: what a batch commits is acknowledged. The folder is what write_batch fills
     with envelopes that carry partition_token and record_uid."""
     return spark.read.option("basePath", path).parquet(f"{path}/batch=*").select(F.col("partition_token").alias("token"), F.col("record_uid").alias("uid"), "batch")
+
+
+def overload_check(claims, me: str, desired: int):
+    """A function for foreachBatch of a stream that a timer triggers (every five seconds by default): a task above its share fails the query, so
+    that its partitions are dealt anew."""
+
+    def check(batch: DataFrame, batch_id: int) -> None:
+        over = overloaded(claims(), desired).where(F.col("task_uid") == me).first()
+        if over is not None:
+            raise RuntimeError(f"{me} has {over['load']} partitions, its share is {over['allowed']}")
+
+    return check
