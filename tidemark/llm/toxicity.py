@@ -111,9 +111,9 @@ def _hot(kind: str) -> list[str]:
 def reported() -> Transducer:
     """Within a quotation, and behind a verb of speech to the clause's end, insults and threats are somebody else's."""
     arcs = {}
-    for inside in (0, 1, 2):  # plainly said, reported, quoted
+    for inside in range(4):  # whether a verb of speech was read, plus 2 within a quotation
         for y in (*WORDS, *MARKS):
-            to = {OPEN: 2, CLOSE: 0, END: 2 if inside == 2 else 0, REPORT: max(inside, 1)}.get(y, inside)
+            to = {OPEN: inside | 2, CLOSE: inside & 1, END: inside & 2, REPORT: inside | 1}.get(y, inside)
             arcs[inside, y] = [(to, y + SAID if inside and y in (INSULT, THREAT) else y, 0.0)]
     return Transducer(0, arcs)
 
