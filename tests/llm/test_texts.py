@@ -113,6 +113,25 @@ def test_line_dedup_behind_an_older_excerpt(spark, send, monkeypatch):
     assert got == {i: len(gone) for i, gone in want.items()}
 
 
+def test_line_dedup_of_texts_that_repeat_themselves(spark):
+    """Periods shorter and longer than a window, passages that come twice in a text and in others too, against brute force."""
+    rng = random.Random(31)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    passages = [[word() for _ in range(n)] for n in (1, 3, 24, 26, 49, 50, 51, 90, 140)]
+    docs = []
+    for i in range(150):
+        w = []
+        for _ in range(rng.randint(1, 4)):
+            p = rng.choice(passages)
+            a = rng.randint(0, len(p) // 3)
+            w += (p[a:] * (1 + 120 // len(p)) if rng.random() < 0.4 else p[a:]) + [word() for _ in range(rng.choice((0, 1, 12, 40)))]
+        docs.append((i, " ".join(w)))
+    want = repeated(docs)
+    text = dict(docs)
+    for r in linededup.dedup_lines(spark.createDataFrame(docs, "doc_id long, text string")).collect():
+        assert words(r["text"]) == [w for n, w in enumerate(words(text[r["doc_id"]])) if n not in want[r["doc_id"]]]
+
+
 CLASH = ["removed", "n_removed", "emptied", "_key", "_th", "_runs", "topic", "n_tokens", "weight", "probability", "sampled", "_source", "_lang", "_topic", "source", "lang"]
 
 

@@ -7,6 +7,9 @@ joins to its first occurrence by (doc_id, position) only, never to all others. F
 the two places chain to runs, each run is extended word by word both ways, and runs of RUN words or more are deleted from
 the later place.
 
+What stands earlier in the same text is found there, where its words are at hand; a fingerprint that only such windows have
+joins nothing.
+
 A fingerprint of three places or more may occur first in a text that differs from what two later places share. Where such a
 fingerprint stands so near a run's end that windows of RUN words around it reach beyond the run's lines, those windows are hashed
 and grouped, and all but the first of equal ones are deleted. (A window within the lines equals one at the first occurrence, and
@@ -76,31 +79,81 @@ def winnow(h: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at, g[at]
 
 
+def _windows_of(g: np.ndarray, off: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first window of RUN words whose first smallest line hash stands at each of at, and how many there are; g: line hashes."""
+    first, count = np.empty(len(at), np.int64), np.empty(len(at), np.int64)
+    step = np.arange(1, WINDOW)
+    for i in range(0, len(at), 100_000):  # a text of one repeated word has a fingerprint at each word
+        p = at[i : i + 100_000]
+        who = np.searchsorted(off, p, "right") - 1
+        left, right = p[:, None] - step, p[:, None] + step
+        ends = (left < off[who][:, None]) | (g[np.maximum(left, 0)] <= g[p][:, None])
+        lo = p - np.where(ends.any(axis=1), ends.argmax(axis=1), WINDOW - 1)
+        ends = (right + LINE > off[who + 1][:, None]) | (g[np.minimum(right, len(g) - 1)] < g[p][:, None])
+        hi = p + np.where(ends.any(axis=1), ends.argmax(axis=1), WINDOW - 1) - (WINDOW - 1)
+        first[i : i + len(p)], count[i : i + len(p)] = lo, np.maximum(hi - lo + 1, 0)
+    return first, count
+
+
 def windows_at(h: np.ndarray, off: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """The windows of RUN words whose first smallest line hash stands at each of at: that hash, the first such window's start,
     how many there are, and the hashes of all of them; h, off: as in winnow, at: where lines begin.
     """
     g, x = _hashes(h, LINE, RUN)
-    who = np.searchsorted(off, at, "right") - 1
-    step = np.arange(1, WINDOW)
-    left, right = at[:, None] - step, at[:, None] + step
-    ends = (left < off[who][:, None]) | (g[np.maximum(left, 0)] <= g[at][:, None])
-    lo = at - np.where(ends.any(axis=1), ends.argmax(axis=1), WINDOW - 1)
-    ends = (right + LINE > off[who + 1][:, None]) | (g[np.minimum(right, len(g) - 1)] < g[at][:, None])
-    hi = at + np.where(ends.any(axis=1), ends.argmax(axis=1), WINDOW - 1) - (WINDOW - 1)
-    count = np.maximum(hi - lo + 1, 0)
+    lo, count = _windows_of(g, off, at)
     return g[at], lo, count, x[np.repeat(lo - (np.cumsum(count) - count), count) + np.arange(count.sum())]
 
 
+def repeated_within(h: np.ndarray, off: np.ndarray, at: np.ndarray, g: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Windows of RUN words that stand earlier in the same text (by where they start), and which fingerprints are of others too.
+
+    h, off: as in winnow; at, g: what it gives. A fingerprint all of whose windows repeat need not be joined to other texts.
+    """
+    who = owner(off)
+    of = who[at]
+    order = np.lexsort((g, of))
+    twice = np.flatnonzero((of[order][1:] == of[order][:-1]) & (g[order][1:] == g[order][:-1]))
+    some = np.unique(of[order][twice])
+    if not len(some):
+        return np.empty(0, np.int64), np.ones(len(at), bool)
+    lines, x = _hashes(h, LINE, RUN)
+    size = np.maximum(off[some + 1] - off[some] - RUN + 1, 0)
+    start = np.repeat(off[some] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+    order = np.lexsort((x[start], who[start]))  # stable: equal windows by where they start
+    sorted_x, sorted_who = x[start][order], who[start][order]
+    later = start[order[1:][(sorted_x[1:] == sorted_x[:-1]) & (sorted_who[1:] == sorted_who[:-1])]]
+    open_ = np.ones(len(h) + 1, np.int64)
+    open_[later] = 0
+    upto = np.concatenate(([0], np.cumsum(open_)))
+    use = np.ones(len(at), bool)
+    mine = np.flatnonzero(np.isin(of, some))
+    lo, count = _windows_of(lines, off, at[mine])
+    use[mine] = upto[lo + count] > upto[lo]
+    return np.sort(later), use
+
+
 def _fingerprints(docs: DataFrame) -> DataFrame:
+    """h, _key, _th, pos of fingerprints; and for each stretch that repeats earlier words of its own text, h: the stretch's words,
+    twice (an even number, as no line's hash is), pos: -1 less its first word.
+    """
+
     def run(batches):
         for batch in slices(batches, "text", 8_000_000):
             off, code, vocab = ascii_words(texts_of(batch))
-            at, g = winnow(hash_words(vocab)[code] if len(vocab) else np.empty(0, np.uint64), off)
-            who = owner(off)[at] if len(at) else np.empty(0, np.int64)
+            words = hash_words(vocab)[code] if len(vocab) else np.empty(0, np.uint64)
+            at, g = winnow(words, off)
+            later, use = repeated_within(words, off, at, g) if len(at) else (at, np.empty(0, bool))
+            at, g = at[use], g[use]
+            whose = owner(off) if len(words) else np.empty(0, np.int64)
+            new = np.ones(len(later), bool)
+            new[1:] = (later[1:] > later[:-1] + RUN) | (whose[later[1:]] != whose[later[:-1]])
+            s, e = later[new], later[np.roll(new, -1)] + RUN
+            who = np.concatenate((whose[at], whose[s]))
             take = pa.array(who)
+            h = np.concatenate((g.view(np.int64), 2 * (e - s)))
+            pos = np.concatenate((at - off[whose[at]], -1 - (s - off[whose[s]])))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(g.view(np.int64)), ints_of(batch, "_key").take(take), ints_of(batch, "_th").take(take), pa.array((at - off[who]).astype(np.int32))],
+                [pa.array(h), ints_of(batch, "_key").take(take), ints_of(batch, "_th").take(take), pa.array(pos.astype(np.int32))],
                 names=["h", "_key", "_th", "pos"],
             )
 
@@ -274,7 +327,9 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
 
 def _dedup(docs: DataFrame) -> DataFrame:
     keyed = docs.withColumns({"_key": F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))), "_th": F.pmod(F.xxhash64("text"), F.lit(2**31)).cast("int")})
-    prints = written(_fingerprints(keyed), "prints")
+    found = written(_fingerprints(keyed), "prints")
+    own = found.where("pos < 0").distinct().selectExpr("_key", "_th", "-1 - pos AS start", "CAST(-1 - pos + h / 2 AS INT) AS end")
+    prints = found.where("pos >= 0")
     first = prints.groupBy("h").agg(F.count("*").alias("n"), F.min(F.struct("_key", "_th", "pos")).alias("f")).where("n > 1")
     # written, so that both sides of the join are plain exchanges: then a fingerprint that very many places have can be split
     first = written(first.select("h", "n", F.col("f._key").alias("c"), F.col("f._th").alias("cth"), F.col("f.pos").alias("cpos")), "first")
@@ -289,7 +344,8 @@ def _dedup(docs: DataFrame) -> DataFrame:
     oldest = windows.groupBy("h", "w").agg(F.count("*").alias("n"), F.min(F.struct("_key", "_th", "first")).alias("f")).where("n > 1")
     oldest = written(oldest.select("h", "w", "f"), "oldest")
     repeats = windows.join(oldest, ["h", "w"]).where("NOT (_key = f._key AND _th = f._th AND first = f.first)")
-    repeats = repeats.groupBy("_key", "_th").agg(F.collect_list("first").alias("_windows"))
+    repeats = repeats.selectExpr("_key", "_th", "first AS start", f"first + {RUN} AS end").union(own)
+    repeats = repeats.groupBy("_key", "_th").agg(F.collect_list(F.struct("start", "end")).alias("_windows"))
     around = around.where("w IS NULL")
     left = around.select("c", "cth", F.col("p").alias("cfirst"), "before")
     right = around.select("c", "cth", F.col("p").alias("clast"), "after")
@@ -313,7 +369,7 @@ def _dedup(docs: DataFrame) -> DataFrame:
             each, flat = runs.offsets.to_numpy(), runs.flatten()
             each = each - each[0] if len(each) else each
             windows = windows.take(pa.array(some))
-            w_off, starts = windows.offsets.to_numpy(), windows.flatten().to_numpy()
+            w_off, starts, ends = windows.offsets.to_numpy(), *(windows.flatten().field(x).to_numpy() for x in ("start", "end"))
             w_off = w_off - w_off[0] if len(w_off) else w_off
             first, last = flat.field("first").to_numpy(), flat.field("last").to_numpy()
             (b_off, b), (a_off, a) = ((x.offsets.to_numpy(), x.values.to_numpy()) for x in (flat.field("before"), flat.field("after")))
@@ -321,8 +377,7 @@ def _dedup(docs: DataFrame) -> DataFrame:
             cuts = [()] * n
             for j, i in enumerate(some.tolist()):
                 w = h[off[j] : off[j + 1]]
-                mine = starts[w_off[j] : w_off[j + 1]]
-                gone = np.bincount(mine, minlength=len(w) + 1) - np.bincount(mine + RUN, minlength=len(w) + 1)
+                gone = np.bincount(starts[w_off[j] : w_off[j + 1]], minlength=len(w) + 1) - np.bincount(ends[w_off[j] : w_off[j + 1]], minlength=len(w) + 1)
                 for r in range(each[j], each[j + 1]):
                     s, e = _extended(w, int(first[r]), int(last[r]), b[b_off[r] : b_off[r + 1]], a[a_off[r] : a_off[r + 1]])
                     if e - s >= RUN:
