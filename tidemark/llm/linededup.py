@@ -333,7 +333,8 @@ def _dedup(docs: DataFrame) -> DataFrame:
     first = prints.groupBy("h").agg(F.count("*").alias("n"), F.min(F.struct("_key", "_th", "pos")).alias("f")).where("n > 1")
     # written, so that both sides of the join are plain exchanges: then a fingerprint that very many places have can be split
     first = written(first.select("h", "n", F.col("f._key").alias("c"), F.col("f._th").alias("cth"), F.col("f.pos").alias("cpos")), "first")
-    later = prints.join(first, "h").where("NOT (_key = c AND _th = cth AND pos = cpos)")
+    # each key once on the built side: its tables are as even as the hashes, and the many rows beside them need no sort
+    later = prints.join(first.hint("shuffle_hash"), "h").where("NOT (_key = c AND _th = cth AND pos = cpos)")
     hits = later.groupBy("_key", "_th").agg(F.collect_list(F.struct("c", "cth", "cpos", "pos", (F.col("n") > 2).alias("many"))).alias("hits"))
     chains = written(_chains(hits), "chains")
     asked = chains.select("c", "cth", F.explode(F.array("cfirst", "clast")).alias("p"), F.lit(-1).alias("a"), F.lit(-1).alias("b"))
@@ -343,7 +344,7 @@ def _dedup(docs: DataFrame) -> DataFrame:
     windows = around.where("w IS NOT NULL").select("h", "w", F.col("c").alias("_key"), F.col("cth").alias("_th"), F.col("start").alias("first"))
     oldest = windows.groupBy("h", "w").agg(F.count("*").alias("n"), F.min(F.struct("_key", "_th", "first")).alias("f")).where("n > 1")
     oldest = written(oldest.select("h", "w", "f"), "oldest")
-    repeats = windows.join(oldest, ["h", "w"]).where("NOT (_key = f._key AND _th = f._th AND first = f.first)")
+    repeats = windows.join(oldest.hint("shuffle_hash"), ["h", "w"]).where("NOT (_key = f._key AND _th = f._th AND first = f.first)")
     repeats = repeats.selectExpr("_key", "_th", "first AS start", f"first + {RUN} AS end").union(own)
     repeats = repeats.groupBy("_key", "_th").agg(F.collect_list(F.struct("start", "end")).alias("_windows"))
     around = around.where("w IS NULL")
@@ -352,7 +353,7 @@ def _dedup(docs: DataFrame) -> DataFrame:
     runs = chains.join(left, ["c", "cth", "cfirst"]).join(right, ["c", "cth", "clast"])
     runs = runs.groupBy("_key", "_th").agg(F.collect_list(F.struct("first", "last", "before", "after")).alias("_runs"))
     runs = runs.join(repeats, ["_key", "_th"], "full")
-    rows = keyed.join(runs, ["_key", "_th"], "left").select(*docs.columns, "_runs", "_windows")
+    rows = keyed.join(runs.hint("shuffle_hash"), ["_key", "_th"], "left").select(*docs.columns, "_runs", "_windows")
     extra = "removed array<struct<start:int,end:int>>, n_removed int, emptied boolean"
     schema = docs.select(*docs.columns).schema
 
