@@ -104,3 +104,27 @@ def test_components(spark):
     got = {r["node"]: r["component"] for r in connected_components(spark.createDataFrame(edges, "src long, dst long")).collect()}
     assert got == {x: find(x) for x in parent}
     assert connected_components(spark.createDataFrame([], "src long, dst long")).count() == 0
+
+
+def test_texts_that_are_compared_with_none_are_not_moved(spark):
+    """Without broadcasts of ids, less is shuffled than the lone texts' bytes."""
+    rng = random.Random(11)
+    text = lambda: " ".join(f"{rng.getrandbits(40):x}" for _ in range(2_000))
+    docs, near = [(i, text()) for i in range(300)], text()
+    docs += [(1000 + i, f"{near} x{i}") for i in range(4)] + [(2000, f"{near[: len(near) // 2]} {text()}")]
+    store, jvm = spark.sparkContext._jsc.sc().statusStore(), spark.sparkContext._jvm
+    none = spark.sparkContext._gateway.new_array(jvm.double, 0)
+
+    def shuffled():
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+        stages = store.stageList(jvm.java.util.ArrayList(), False, False, none, jvm.java.util.ArrayList())
+        return {(x.stageId(), x.attemptId()): x.shuffleWriteBytes() for x in (stages.apply(i) for i in range(stages.size()))}
+
+    before, limit = shuffled(), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        check(spark, docs)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    moved = sum(n for stage, n in shuffled().items() if stage not in before)
+    assert moved < 0.5 * sum(len(t) for _, t in docs), moved

@@ -28,6 +28,8 @@ SIMILARITY = 75
 CHUNK = 256
 #: Documents of a bucket, and shingles of theirs, that are compared with as many others at once.
 BLOCK, BULK = 512, 500_000
+#: Bits by which documents that are compared are told from others before texts are moved.
+MARKS = 1 << 25
 
 _PASS = "doc_id long, n_shingles long, set_a long, set_b long, sig array<int>"
 
@@ -67,11 +69,22 @@ def signatures(docs: DataFrame, k: int = 5) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, _PASS)
 
 
+def _marked(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows (doc_id, ...) whose doc_id is one of ids (doc_id), and few others: a filter before an exact join.
+
+    Each id sets one of MARKS bits; the words of them that are not 0 are broadcast, so at most MARKS / 64 rows at any size.
+    """
+    word = F.expr(f"pmod(shiftright(xxhash64(doc_id), 6), {MARKS // 64})")
+    bit = F.expr("shiftleft(1L, CAST(pmod(xxhash64(doc_id), 64) AS INT))")
+    words = ids.select(word.alias("_word"), bit.alias("_bit")).groupBy("_word").agg(F.bit_or("_bit").alias("_bits"))
+    return rows.withColumn("_word", word).join(F.broadcast(words), "_word").where(F.col("_bits").bitwiseAND(bit) != 0).select(*rows.columns)
+
+
 def _confirmed(pairs: DataFrame, texts: DataFrame, k: int) -> DataFrame:
     """Those of pairs (src, dst) whose whole texts' shingle sets are alike.
 
     A centre dst may have very many members: they are dealt to chunks of about CHUNK, and its text goes to each chunk once, not to each
-    member. Of a repeated id each text counts.
+    member. Texts that are in no pair stay where they are. Of a repeated id each text counts.
     """
 
     def run(batches):
@@ -98,6 +111,7 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, k: int) -> DataFrame:
     chunk = F.pmod(F.xxhash64("src"), F.ceil(F.col("members") / CHUNK)).cast("int")
     members = pairs.join(sizes, "dst").select("dst", chunk.alias("salt"), F.col("src").alias("id"), F.lit(False).alias("centre"))
     centres = members.select("dst", "salt").distinct().select("dst", "salt", F.col("dst").alias("id"), F.lit(True).alias("centre"))
+    texts = _marked(texts, pairs.select(F.col("src").alias("doc_id")).union(pairs.select("dst")))
     rows = members.union(centres).join(texts.select(F.col("doc_id").alias("id"), "text"), "id").select("dst", "salt", "id", "centre", "text")
     n = max(1, int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     rows = rows.repartition(n, "dst", "salt").sortWithinPartitions("dst", "salt", F.col("centre").desc())
@@ -253,7 +267,8 @@ def near_duplicates(docs: DataFrame, k: int = 5) -> DataFrame:
     label = buckets.where("size > 2").join(comps, F.col("doc_id") == F.col("node"), "left")
     label = written(label.select("key", "band", "doc_id", "size", "bulk", F.coalesce("component", "doc_id").alias("comp")), "labels")
     open_ = label.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key")
-    across = label.join(open_, "key").join(sigs, "doc_id").join(docs, "doc_id")
+    apart = written(label.join(open_, "key"), "open")
+    across = apart.join(_marked(sigs, apart), "doc_id").join(_marked(docs, apart), "doc_id")
     links = links.union(written(_across(across, k), "across"))
 
     twice = member.where("rep IS NOT NULL").groupBy("doc_id").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo <> hi")
