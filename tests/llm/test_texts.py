@@ -462,6 +462,30 @@ def test_lm_contexts_have_pair_rows_of_their_own():
     assert lm.ROUNDS >= 25
 
 
+def test_lm_partitions_return_the_rows_of_their_contexts_only(spark, sf, monkeypatch):
+    """What comes to the driver in a round is about one array of the weights' size (two in the first), whatever the partitions."""
+    d = table(spark, sf, "documents")
+    known = lm.Counts(lm.word_counts(d).persist(), lm.SEND)
+    ngrams = lm.class_ngrams(d, spark.sparkContext.broadcast(known)).persist()
+    came = []
+
+    def noted(f):
+        def run(self, *args):
+            out = f(self, *args)
+            came.append(out.nbytes if hasattr(out, "nbytes") else sum(len(x) for r in out for x in r if isinstance(x, (bytes, bytearray))))
+            return out
+
+        return run
+
+    for name in ("collect", "toArrow"):
+        monkeypatch.setattr(type(d), name, noted(getattr(type(d), name)))
+    one, four, split = (lm.train(ngrams.repartition(*by), lm.Maxent(known.classes, known.start), rounds=3) for by in ((1,), (4, "context"), (4, "k")))
+    size = one.w.nbytes + one.u.nbytes
+    assert len(came) == 9 and max(came[:6]) < 2 * (size + 4 * (one.u.nbytes + 100_000)) and max(came[4:6]) < size + 4 * (one.u.nbytes + 100_000)
+    for other in (four, split):  # a context's counts may lie in several partitions
+        assert np.allclose(one.w, other.w, atol=1e-4) and np.allclose(one.u, other.u, atol=1e-4)
+
+
 def test_lm_odd(spark):
     out = lm.held_out_scores(odd(spark)).collect()
     assert len(out) == len(ODD)
