@@ -5,6 +5,7 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -257,6 +258,25 @@ def test_the_language_model_does_not_depend_on_partitions(spark, sf):
     assert a.langs == b.langs and (a.logp == b.logp).all() and (a.writes == b.writes).all()
 
 
+def test_language_of_many_distinct_words_takes_bounded_memory(spark, sf, monkeypatch):
+    """Scores of 150 000 words, as a slice of texts has them, were made from all their n-grams at once; blocks change no value."""
+    d = table(spark, sf, "documents")
+    m = langid.learned(d)
+    w = [f"w{i:x}ord{i * i:x}" for i in range(150_000)] + ["x" * 200_000, "", "12", "y"]
+    tracemalloc.start()
+    scores, letters = m.word_scores(w)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100e6
+    some = [0, 1, 70_000, 149_999, 150_000, 150_001, 150_002, 150_003]
+    alone = [m.word_scores([w[i]]) for i in some]
+    assert np.array_equal(scores[some], np.concatenate([x for x, _ in alone])) and np.array_equal(letters[some], np.concatenate([x for _, x in alone]))
+    monkeypatch.setattr(langid, "GRAM_CHARS", 50)
+    small = langid.learned(d)
+    assert small.langs == m.langs and np.array_equal(small.logp, m.logp) and np.array_equal(small.writes, m.writes)
+
+
+
 def test_viterbi_is_the_best_path():
     import itertools
 

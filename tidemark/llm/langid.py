@@ -26,6 +26,8 @@ SCRIPTS = 18
 
 #: Buckets of hashed n-grams, the longest n-gram, documents per language that the model learns from (a bound).
 BUCKETS, LONGEST, FIT_DOCS = 1 << 15, 3, 4000
+#: Characters of distinct words that a worker holds as n-grams at once; a longer single word is a block of its own.
+GRAM_CHARS = 1 << 17
 #: What a change of language costs, in natural log units; the most that one word may speak against a language.
 SWITCH, CLIP = 12.0, 6.0
 
@@ -64,6 +66,17 @@ def _word_grams(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, n
     return np.concatenate(owners), np.concatenate(grams), kind[:n], letters
 
 
+def _blocks(words: list[str], chars: int = 0):
+    """Where blocks of words begin and end: of at most so many characters (GRAM_CHARS), or one word."""
+    ends = np.cumsum([len(w) for w in words])
+    at = 0
+    while at < len(words):
+        base = ends[at - 1] if at else 0
+        to = max(at + 1, int(np.searchsorted(ends, base + (chars or GRAM_CHARS), side="right")))
+        yield at, to
+        at = to
+
+
 def _tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
     parts = pc.utf8_split_whitespace(pc.utf8_lower(texts))
     flat, off = parts.flatten(), parts.offsets.to_numpy().astype(np.int64)
@@ -84,6 +97,12 @@ class Model:
 
     def word_scores(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """A score for each word and language, and each word's letters. Words without letters score 0."""
+        out, letters = np.empty((len(words), len(self.langs)), np.float32), np.empty(len(words), np.int64)
+        for a, b in _blocks(words):
+            out[a:b], letters[a:b] = self._block_scores(words[a:b])
+        return out, letters
+
+    def _block_scores(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         who, gram, script, letters = _word_grams(words)
         out = np.zeros((len(words), len(self.langs)), np.float64)
         for k in range(len(self.langs)):
@@ -119,17 +138,18 @@ def fit(docs: DataFrame, lang: str = "lang", fit_docs: int = FIT_DOCS) -> Model:
             off, code, words = _tokens(texts_of(batch))
             if not len(code):
                 continue
-            who, gram, script, letters = _word_grams(words)
             doc_lang = np.array([langs.index(x) for x in lg])
             counts = np.zeros((len(langs), BUCKETS + SCRIPTS))
             word_lang = doc_lang[owner(off)]
             once = np.unique(owner(off) * len(words) + code)  # a text's word counts once, however often the text repeats it
             once_lang, once_word = doc_lang[once // len(words)], once % len(words)
-            for k in range(len(langs)):
-                times = np.bincount(code[word_lang == k], minlength=len(words))
-                texts = np.bincount(once_word[once_lang == k], minlength=len(words))
-                counts[k, :BUCKETS] = np.bincount(gram, texts[who], minlength=BUCKETS)[:BUCKETS]
-                counts[k, BUCKETS:] = np.bincount(script, times * letters, minlength=SCRIPTS)
+            times = [np.bincount(code[word_lang == k], minlength=len(words)) for k in range(len(langs))]
+            texts = [np.bincount(once_word[once_lang == k], minlength=len(words)) for k in range(len(langs))]
+            for a, b in _blocks(words):
+                who, gram, script, letters = _word_grams(words[a:b])
+                for k in range(len(langs)):
+                    counts[k, :BUCKETS] += np.bincount(gram, texts[k][a:b][who], minlength=BUCKETS)[:BUCKETS]
+                    counts[k, BUCKETS:] += np.bincount(script, times[k][a:b] * letters, minlength=SCRIPTS)
             row, col = np.nonzero(counts)
             yield pa.RecordBatch.from_arrays([pa.array(row), pa.array(col), pa.array(counts[row, col])], names=["k", "f", "n"])
 
